@@ -19,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table stored in fewer files than there are cores, dealt out to all of them.
+
+    The given tables are one small file each, which one task reads; what follows the read (JSON
+    parsing above all) would stay in that task. A large table has files enough and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, df.columns[0]) if len(df.inputFiles()) < cores else df
+
+
 def _listed(df: DataFrame, key: str, size: str, modified: str) -> DataFrame:
     return df.select(F.expr(key).alias("key"), F.expr(size).alias("size"), F.expr(modified).alias("last_modified"))
 
@@ -83,7 +93,7 @@ _CONTENT = """concat(
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """unitCode, content, filename."""
-    emitted = table(spark, sf_dir, "orders").select(
+    emitted = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")).select(
         "o_orderkey",
         "o_custkey",
         F.expr(_RECORD_ID).alias("record_id"),

@@ -37,7 +37,7 @@ def linked_name(url: Column) -> Column:
 
 
 def source_path(path: Column | None = None) -> Column:
-    """The path of the file a row was read from, as it was given to the reader.
+    """The path of the file a row was read from (``_metadata.file_path``), as the reader was given it.
 
     Spark percent-encodes the path and may drop slashes of a local one. ``url_decode`` would turn a
     plus sign into a space, so plus signs are escaped first.

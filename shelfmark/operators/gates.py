@@ -67,7 +67,7 @@ def unique_gate(df: DataFrame, key: str, name: str, empty_allowed: bool = False)
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct(key).alias("values"),
         F.count_if(F.col(key).isNull()).alias("nulls"),
-        F.count_if(F.col(key) == "").alias("blanks"),
+        F.count_if(F.col(key).cast("string") == "").alias("blanks"),
     )
     return _rows(numbers, _unique(name, empty_allowed))
 

@@ -13,7 +13,9 @@ from shelfmark.spec import CatalogSpec
 
 def media_references(records: DataFrame) -> DataFrame:
     """``(record_id, file_name)`` for every distinct mention of a file by a record."""
-    return records.select("record_id", F.explode("media_names").alias("file_name")).distinct()
+    # a plain explode would make the optimizer test the list below it too, and so compute it twice
+    named = records.select("record_id", F.explode_outer("media_names").alias("file_name"))
+    return named.where("file_name IS NOT NULL").distinct()
 
 
 def media_links(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -82,21 +83,22 @@ def exact_quantiles(df: DataFrame, column: str, parts: int, crowded: int = CROWD
     and not on the data.
     """
     keys = df.select(F.col(column).alias("key")).where("key IS NOT NULL")
-    rows = keys.count()
-    if parts < 2 or rows == 0:
-        return []
-    # integer arithmetic: rank = ceil(rows * i / parts)
-    ranks = [(rows * i + parts - 1) // parts for i in range(1, parts)]
-    cuts = _sample_cuts(keys, rows, parts * SLICES)
+    # over stored tables this count is read off the file footers
+    cuts = _sample_cuts(keys, df.count(), parts * SLICES)
     while True:
         sliced = keys.withColumn("slice", count_below(F.col("key"), cuts))
         counts = sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect()
         sizes = {r["slice"]: r["n"] for r in counts}
+        rows = sum(sizes.values())
+        if parts < 2 or rows == 0:
+            return []
+        # integer arithmetic: rank = ceil(rows * i / parts)
+        ranks = [(rows * i + parts - 1) // parts for i in range(1, parts)]
         offsets = _ranks_by_slice(ranks, sizes)
         large = [s for s in offsets if sizes[s] > crowded]
         if not large:
             break
-        inside = sliced.where(F.col("slice").isin(large)).select("key")
+        inside = keys.where(_in_slices(cuts, large))
         finer = _sample_cuts(inside, sum(sizes[s] for s in large), parts * SLICES)
         # nothing new to cut at: the slices are few keys with many copies, which step 3 counts
         if not set(finer) - set(cuts):
@@ -108,9 +110,10 @@ def exact_quantiles(df: DataFrame, column: str, parts: int, crowded: int = CROWD
     )
     running = Window.partitionBy("slice").orderBy("key")
     counted = (
-        sliced.where(F.col("slice").isin(list(offsets)))
-        .groupBy("slice", "key")
+        keys.where(_in_slices(cuts, offsets))
+        .groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("slice", count_below(F.col("key"), cuts))
         .withColumn("last", F.sum("n").over(running))
     )
     # at most parts - 1 rows, hence the broadcast
@@ -118,9 +121,16 @@ def exact_quantiles(df: DataFrame, column: str, parts: int, crowded: int = CROWD
     return sorted({r["key"] for r in hits.select("key").collect()})
 
 
+def _in_slices(cuts: Sequence[str], slices: Iterable[int]) -> Column:
+    """Whether a key lies in one of the slices, as ranges a Parquet scan can prune by."""
+    edges = [None, *cuts, None]
+    ranges = [within(F.col("key"), Segment(s, edges[s], edges[s + 1])) for s in slices]
+    return reduce(Column.__or__, ranges)
+
+
 def _sample_cuts(keys: DataFrame, rows: int, slices: int) -> list[str]:
     """About ``slices`` evenly spaced values out of a sample of SAMPLES_PER_SLICE times as many."""
-    share = slices * SAMPLES_PER_SLICE / rows
+    share = slices * SAMPLES_PER_SLICE / max(rows, 1)
     sampled = keys if share >= 1 else keys.sample(fraction=share, seed=0)
     values = sorted(r["key"] for r in sampled.collect())
     step = max(1, len(values) // slices)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
-from shelfmark.functions.json_text import not_json, parts_of_field
+from shelfmark.functions.json_text import not_json, parts_of_field, parts_of_list
 from shelfmark.functions.names import after, linked_name
 from shelfmark.spec import CatalogSpec
 
@@ -16,9 +16,20 @@ from shelfmark.spec import CatalogSpec
 KEEP_ORDER = ("metadata_url", "unit_code", "title", "guid")
 
 
-def _media_names(media: Column, spec: CatalogSpec) -> Column:
+def _odd_media_urls(content: Column) -> Column:
+    """Resource urls of media of uneven shape: odd parts give nothing, the others are kept."""
+    media = parts_of_list(F.get_json_object(content, schemas.MEDIA_PATH))
     resources = F.flatten(F.transform(media, lambda item: parts_of_field(item, "resources")))
-    names = F.transform(resources, lambda r: linked_name(F.get_json_object(r, "$.url")))
+    return F.transform(resources, lambda resource: F.get_json_object(resource, "$.url"))
+
+
+def _media_names(parsed: Column, content: Column, spec: CatalogSpec) -> Column:
+    """Distinct file names with a linkable extension that a record's resources mention."""
+    resources = parsed["descriptiveNonRepeating"]["online_media"]["media"]["resources"]
+    urls = F.flatten(F.filter(resources, lambda found: found.isNotNull()))["url"]
+    # the branch for odd shapes parses several times, so only marked rows take it
+    urls = F.when(parsed["_corrupt_record"].isNull(), urls).otherwise(_odd_media_urls(content))
+    names = F.transform(F.coalesce(urls, F.array().cast("array<string>")), linked_name)
     pattern = F.lit(spec.link_name_pattern)
     return F.array_distinct(F.filter(names, lambda name: F.rlike(F.lower(name), pattern)))
 
@@ -27,26 +38,25 @@ def extract_records(metadata: DataFrame, spec: CatalogSpec) -> DataFrame:
     """The narrow record table: ids, titles, linked file names, from one parse of ``content``.
 
     ``metadata`` needs unitCode, content and filename. Result: record_id, unit_code, title, guid,
-    metadata_url, media_names (distinct names with a linkable extension, empty without a
-    record_id) and malformed (content is not JSON; such rows have no id). Write the result before
-    using it twice, since each use parses again.
+    metadata_url, media_names (NULL without a record_id) and malformed (content is not JSON; such
+    rows have no id). Write the result before using it twice, since each use parses again.
     """
-    content = F.from_json("content", schemas.RECORD_CONTENT)
-    described = F.col("c.descriptiveNonRepeating")
-    record_id = F.coalesce("c.record_id", described["record_ID"])
-    return metadata.select(content.alias("c"), "unitCode", "content", "filename").select(
+    parsed = metadata.select(
+        F.from_json("content", schemas.RECORD_CONTENT).alias("c"), "unitCode", "content", "filename"
+    )
+    c, content = F.col("c"), F.col("content")
+    described = c["descriptiveNonRepeating"]
+    record_id = F.coalesce(c["record_id"], described["record_ID"])
+    return parsed.select(
         record_id.alias("record_id"),
         F.coalesce("unitCode", described["unit_code"]).alias("unit_code"),
-        F.coalesce("c.title", described["title"]["content"]).alias("title"),
-        F.coalesce("c.guid", described["guid"]).alias("guid"),
+        F.coalesce(c["title"], described["title"]["content"]).alias("title"),
+        F.coalesce(c["guid"], described["guid"]).alias("guid"),
         F.concat(F.lit(spec.records_url), after(F.col("filename"), spec.records_source)).alias("metadata_url"),
-        F.when(record_id.isNotNull(), _media_names(described["online_media"]["media"], spec)).alias(
-            "media_names"
-        ),
-        # the parser marks odd shapes too, so only marked rows are looked at again
+        F.when(record_id.isNotNull(), _media_names(c, content, spec)).alias("media_names"),
         (
-            (F.col("c._corrupt_record").isNotNull() & not_json(F.col("content")))
-            | F.coalesce(F.trim("content") == "", F.lit(False))
+            (c["_corrupt_record"].isNotNull() & not_json(content))
+            | F.coalesce(F.trim(content) == "", F.lit(False))
         ).alias("malformed"),
     )
 

@@ -36,16 +36,17 @@ RECORD_LINES = T.StructType(
     ]
 )
 
-# The few fields of a record's JSON text that are ever read. ``media`` stays a list of raw JSON
-# texts so that one odd element cannot null the whole list.
+# The few fields of a record's JSON text that are ever read. A text that does not have this shape
+# throughout is marked by the parser in _corrupt_record, and its media are then read part by part.
 RECORD_CONTENT = """
     record_id STRING, title STRING, guid STRING,
     descriptiveNonRepeating STRUCT<
         record_ID: STRING, unit_code: STRING, guid: STRING,
         title: STRUCT<content: STRING>,
-        online_media: STRUCT<media: ARRAY<STRING>>>,
+        online_media: STRUCT<media: ARRAY<STRUCT<resources: ARRAY<STRUCT<url: STRING>>>>>>,
     _corrupt_record STRING
 """
+MEDIA_PATH = "$.descriptiveNonRepeating.online_media.media"
 
 SCENE_FILE = T.StructType(_strings("metas", "_corrupt_record"))
 

@@ -17,7 +17,9 @@ from shelfmark.spec import CatalogSpec
 
 logger = logging.getLogger(__name__)
 
-PUBLISHED_ZSTD_LEVEL = 22
+# Parquet compresses pages of about 1 MB one by one. Levels far above this one gain nothing on pages
+# of that size, but set up hundreds of megabytes for each.
+PUBLISHED_ZSTD_LEVEL = 9
 
 
 def write_sorted(

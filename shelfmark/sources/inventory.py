@@ -32,7 +32,7 @@ def scan_tree(spark: SparkSession, spec: CatalogSpec) -> DataFrame:
     root = spec.object_url(spec.key_prefix)
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return found.select(
-        after(source_path(F.col("path")), spec.store_url).alias("key"),
+        after(source_path(), spec.store_url).alias("key"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
         F.lit(None).cast("string").alias("etag"),

@@ -1,0 +1,134 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfmark.operators import links
+from shelfmark.operators.files import build_files, select_keys
+from shelfmark.operators.hot_join import split_grid, spread_join
+from shelfmark.operators.models import scene_models
+from tests.conftest import MODEL
+
+P = "arc/pub/"
+
+
+def listing(spark, keys):
+    frame = spark.createDataFrame([(k, len(k), "abc") for k in keys], "key string, size long, etag string")
+    return frame.withColumn("last_modified", F.timestamp_micros(F.lit(1767225600000000)))
+
+
+def test_files_are_media_and_models_without_folder_markers(spark, spec):
+    keys = ["media/x/a.jpg", "media/x/", "media/b\\", "3d/m/model.glb", "3dx/a", "xmedia/b", "metadata/edan/n/00.txt", "README.md"]
+    found = build_files(listing(spark, [P + k for k in keys]), spec)
+    assert found.dtypes == [("url", "string"), ("size", "bigint"), ("last_modified", "timestamp_ntz")]
+    rows = {r["url"]: (r["size"], str(r["last_modified"])) for r in found.collect()}
+    assert rows == {
+        spec.base_url + "media/x/a.jpg": (len(P) + 13, "2026-01-01 00:00:00"),
+        spec.base_url + "3d/m/model.glb": (len(P) + 14, "2026-01-01 00:00:00"),
+    }
+
+
+def test_prefix_filters_reach_the_scan(spark, spec, tmp_path):
+    listing(spark, [P + "media/x/a.jpg"]).write.parquet(f"{tmp_path}/l")
+    plan = build_files(spark.read.parquet(f"{tmp_path}/l"), spec)._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(key,arc/pub/media/)" in plan
+    assert "etag" not in plan
+
+
+def test_keys_by_pattern_are_ordered(spark, spec):
+    keys = [P + "metadata/edan/b/00.txt", P + "metadata/edan/a/ff.txt", P + "metadata/edan/a/index.txt"]
+    found = [r["key"] for r in select_keys(listing(spark, keys), spec.record_file_pattern).collect()]
+    assert found == [P + "metadata/edan/a/ff.txt", P + "metadata/edan/b/00.txt"]
+
+
+def records(spark, rows):
+    return spark.createDataFrame(rows, "record_id string, media_names array<string>")
+
+
+@pytest.mark.parametrize("unique_keys", [True, False])
+def test_media_links_are_many_to_many_and_distinct(spark, spec, unique_keys):
+    keys = [P + k for k in ("media/x/a.jpg", "media/y/a.jpg", "media/x/b.TIF", "media/x/n.txt", "3d/z/a.jpg", "media/a.jpg/")]
+    if not unique_keys:
+        keys = keys * 2
+    mentions = records(spark, [("r1", ["a.jpg", "b.TIF"]), ("r2", ["a.jpg"]), ("r2", ["a.jpg"]), ("r3", ["A.jpg"]), ("r4", []), (None, None)])
+    found = links.media_links(mentions, listing(spark, keys), spec, unique_keys)
+    base = spec.base_url
+    assert sorted(map(tuple, found.collect())) == [
+        (base + "media/x/a.jpg", "r1"),
+        (base + "media/x/a.jpg", "r2"),
+        (base + "media/x/b.TIF", "r1"),
+        (base + "media/y/a.jpg", "r1"),
+        (base + "media/y/a.jpg", "r2"),
+    ]
+
+
+def test_model_links_cover_every_file_of_a_model(spark, spec):
+    other = MODEL.replace("0b", "1c")
+    keys = [P + f"3d/{MODEL}/{f}" for f in ("scene.svx.json", "model.glb", "sub/x.png", "")]
+    keys += [P + f"3d/{other}/model.glb", P + "3d/readme.txt"]
+    models = spark.createDataFrame([(MODEL, "a_1", "T"), (MODEL, "a_1", "U"), ("", "b_1", "V")], "model_id string, record_id string, title string")
+    found = links.model_links(models, listing(spark, keys), spec)
+    assert sorted(map(tuple, found.collect())) == [
+        (spec.base_url + f"3d/{MODEL}/{f}", "a_1") for f in ("model.glb", "scene.svx.json", "sub/x.png")
+    ]
+
+
+def scene(spark, metas):
+    path = f"file:///s/arc/pub/3d/{MODEL}/scene.svx.json"
+    return spark.createDataFrame([(path, metas)], "filename string, metas string")
+
+
+@pytest.mark.parametrize(
+    ("metas", "expected"),
+    [
+        ('[{"collection":{"edanRecordId":"edanmdm:a_1","title":"A"}},{"collection":{"edanRecordId":"edanmdm:b_2","titles":{"EN":"B"}}},{"x":1}]', ("b_2", "B")),
+        ('[{"collection":{"edanRecordId":"edanmdm:a_1","title":"A"}},{"collection":null}]', None),
+        ('[{"collection":{"edanRecordId":"edanmdm:a_1"}},7,null,"s"]', ("a_1", None)),
+        ('[{"collection":{"edanRecordId":"edanmdm:a_1","title":null,"titles":{"EN":"E","DE":"D"}}}]', ("a_1", "E")),
+        ('[{"collection":{"edanRecordId":"other:prefix_1"}}]', ("efix_1", None)),
+        ('[{"collection":{"edanRecordId":"x:1"}}]', None),
+        ('[{"collection":{"title":"no id"}}]', None),
+        ('[{"collection":"text"}]', None),
+        ('{"collection":{"edanRecordId":"edanmdm:a_1"}}', None),
+        ("[]", None),
+        (None, None),
+    ],
+)
+def test_the_last_collection_names_the_record(spark, spec, metas, expected):
+    found = [tuple(r) for r in scene_models(scene(spark, metas), spec).collect()]
+    assert found == ([(MODEL, *expected)] if expected else [])
+
+
+def hot_sides(spark):
+    rng = random.Random(3)
+    left = [("hot" if rng.random() < 0.35 else f"k{rng.randrange(300)}", f"l{i}") for i in range(2500)]
+    right = [("hot" if rng.random() < 0.35 else f"k{rng.randrange(400)}", f"r{i}") for i in range(900)]
+    left += [(None, "l-null"), ("only-left", "l-x")] * 40
+    right += [(None, "r-null"), ("only-right", "r-x")]
+    return spark.createDataFrame(left, "k string, l string"), spark.createDataFrame(right, "k string, r string")
+
+
+@pytest.mark.parametrize(("pairs", "side"), [(16_000_000, 4_000), (1_000, 10), (50, 7), (1, 1)])
+def test_a_spread_join_equals_a_plain_join(spark, pairs, side):
+    left, right = hot_sides(spark)
+    spread = spread_join(left, right, "k", pairs, side)
+    plain = left.join(right, "k").select(spread.columns)
+    assert sorted(spread.collect()) == sorted(plain.collect())
+
+
+def test_a_frequent_key_is_cut_on_both_sides(spark):
+    left, right = hot_sides(spark)
+    grid = {r["k"]: (r["left_parts"], r["right_parts"]) for r in split_grid(left, right, "k", 10_000, 100).collect()}
+    assert set(grid) == {"hot"}
+    assert min(grid["hot"]) > 1
+    # no task gets more than a small share of the pairs of that key
+    spread = spread_join(left.where("k = 'hot'"), right.where("k = 'hot'"), "k", 10_000, 100)
+    total = left.where("k = 'hot'").count() * right.where("k = 'hot'").count()
+    assert spread.count() == total
+    assert total / (grid["hot"][0] * grid["hot"][1]) <= 10_000
+
+
+def test_a_spread_join_with_an_empty_side_is_empty(spark):
+    left, right = hot_sides(spark)
+    assert spread_join(left.where("false"), right, "k").count() == 0
+    assert spread_join(left, right.where("false"), "k").count() == 0
