@@ -29,10 +29,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores, df.columns[0]) if len(df.inputFiles()) < cores else df
 
 
-def _listed(df: DataFrame, key: str, size: str, modified: str) -> DataFrame:
-    return df.select(F.expr(key).alias("key"), F.expr(size).alias("size"), F.expr(modified).alias("last_modified"))
-
-
 _UNIT = "lower(replace(substr(o_orderpriority, 3), ' ', '_'))"
 _NAME = "concat('ORD-', o_orderkey, element_at(array('.jpg', '.TIF', '.pdf', '.jpeg', '.txt'), cast(o_orderkey % 5 AS int) + 1))"
 _THEN = "timestamp_ntz'2026-01-01 00:00:00'"
@@ -41,28 +37,39 @@ _RECORD_FILE = "concat('n', {n}, '/', lower(lpad(hex({n}), 2, '0')), '.txt')"
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """key, size, last_modified, etag."""
-    orders, supplier = table(spark, sf_dir, "orders"), table(spark, sf_dir, "supplier")
-    nation = table(spark, sf_dir, "nation")
-    size = "o_custkey * 1000 + o_orderkey"
-    media = _listed(orders, f"concat('arc/pub/media/', {_UNIT}, '/', {_NAME})", size, "o_orderdate")
-    # the same file name in a second folder
-    copies = _listed(
-        orders.where("o_orderkey % 10 = 3"), f"concat('arc/pub/media/copies/', {_NAME})", size, "o_orderdate"
+    """key, size, last_modified, etag.
+
+    Orders give media files, every tenth of them a second time in another folder; suppliers two
+    files of a model; nations a record file, a folder marker and two files of no interest.
+    """
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"))
+    media = orders.select(
+        F.explode(
+            F.expr(f"CASE WHEN o_orderkey % 10 = 3 THEN array({_UNIT}, 'copies') ELSE array({_UNIT}) END")
+        ).alias("folder"),
+        F.expr(_NAME).alias("name"),
+        F.expr("o_custkey * 1000 + o_orderkey").alias("size"),
+        F.col("o_orderdate").alias("last_modified"),
+    ).select(F.expr("concat('arc/pub/media/', folder, '/', name)").alias("key"), "size", "last_modified")
+    models = table(spark, sf_dir, "supplier").select(
+        F.explode(F.array(F.lit("scene.svx.json"), F.lit("model.glb"))).alias("file"), "s_suppkey"
+    ).select(
+        F.expr(f"concat('arc/pub/3d/', {_MODEL}, '/', file)").alias("key"),
+        F.col("s_suppkey").alias("size"),
+        F.expr(_THEN).alias("last_modified"),
     )
-    folders = _listed(orders.select(F.expr(_UNIT).alias("unit")).distinct(), "concat('arc/pub/media/', unit, '/')", "0L", _THEN)
-    model_files = supplier.select("s_suppkey", F.explode(F.array(F.lit("scene.svx.json"), F.lit("model.glb"))).alias("file"))
-    models = _listed(model_files, f"concat('arc/pub/3d/', {_MODEL}, '/', file)", "s_suppkey", _THEN)
-    records = _listed(
-        nation, f"concat('arc/pub/metadata/edan/', {_RECORD_FILE.format(n='n_nationkey')})", "100L", _THEN
+    others = F.array(
+        F.expr(f"concat('metadata/edan/', {_RECORD_FILE.format(n='n_nationkey')})"),
+        F.expr("concat('media/n', n_nationkey, '/')"),
+        F.expr("concat('README-', n_nationkey, '.md')"),
+        F.expr("concat('3d/README-', n_nationkey, '.md')"),
     )
-    strays = nation.select("n_nationkey", F.explode(F.array(F.lit(""), F.lit("3d/"))).alias("folder"))
-    strays = _listed(strays, "concat('arc/pub/', folder, 'README-', n_nationkey, '.md')", "1L", _THEN)
-    parts = [media, copies, folders, models, records, strays]
-    everything = parts[0]
-    for part in parts[1:]:
-        everything = everything.unionByName(part)
-    return everything.withColumn("etag", F.md5("key"))
+    strays = table(spark, sf_dir, "nation").select(F.explode(others).alias("rest")).select(
+        F.concat(F.lit("arc/pub/"), "rest").alias("key"),
+        F.length("rest").cast("long").alias("size"),
+        F.expr(_THEN).alias("last_modified"),
+    )
+    return media.unionByName(models).unionByName(strays).withColumn("etag", F.md5("key"))
 
 
 # One record an order. Every fourth names its customer, so that ids repeat; every eleventh is
@@ -146,15 +153,16 @@ listing AS (
         SELECT 'arc/pub/media/copies/' || {_SQL_NAME}, o_custkey * 1000 + o_orderkey, o_orderdate
         FROM orders WHERE o_orderkey % 10 = 3
         UNION ALL
-        SELECT DISTINCT 'arc/pub/media/' || {_SQL_UNIT} || '/', 0, {_SQL_THEN} FROM orders
-        UNION ALL
         SELECT 'arc/pub/3d/' || lpad(s_suppkey::VARCHAR, 36, '0') || '/' || f, s_suppkey, {_SQL_THEN}
         FROM supplier, (VALUES ('scene.svx.json'), ('model.glb')) t(f)
         UNION ALL
-        SELECT 'arc/pub/metadata/edan/' || {_SQL_RECORD_FILE.format(n='n_nationkey')}, 100, {_SQL_THEN} FROM nation
-        UNION ALL
-        SELECT 'arc/pub/' || f || 'README-' || n_nationkey || '.md', 1, {_SQL_THEN}
-        FROM nation, (VALUES (''), ('3d/')) t(f)
+        SELECT 'arc/pub/' || rest, length(rest), {_SQL_THEN} FROM (
+            SELECT unnest([
+                'metadata/edan/' || {_SQL_RECORD_FILE.format(n='n_nationkey')},
+                'media/n' || n_nationkey || '/',
+                'README-' || n_nationkey || '.md',
+                '3d/README-' || n_nationkey || '.md']) AS rest
+            FROM nation)
     )
 )"""
 

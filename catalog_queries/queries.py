@@ -53,18 +53,25 @@ def model_links(spark, sf_dir):
     return links.model_links(_models(spark, sf_dir), listing(spark, sf_dir), SPEC)
 
 
+def _stored_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing as the job has it: a stored table, since it is read more than once."""
+    return stage(listing(spark, sf_dir), scratch_path(spark, "listing"))
+
+
+def _links(found: DataFrame, listed: DataFrame, known: DataFrame) -> DataFrame:
+    return links.linkages(links.media_links(found, listed, SPEC), links.model_links(known, listed, SPEC))
+
+
 def linkages(spark, sf_dir):
-    return links.linkages(media_links(spark, sf_dir), model_links(spark, sf_dir))
+    return _links(_extracted(spark, sf_dir), _stored_listing(spark, sf_dir), _models(spark, sf_dir))
 
 
-def _stored_inputs(spark, sf_dir):
-    """Records and links as the job has them: stored, since both are read more than once."""
+def _stored_inputs(spark, sf_dir, listed=None):
+    """Records and links as the job has them: stored too."""
+    listed = _stored_listing(spark, sf_dir) if listed is None else listed
     found = stage(_extracted(spark, sf_dir), scratch_path(spark, "extracted"))
-    listed, known = listing(spark, sf_dir), _models(spark, sf_dir)
-    both = links.linkages(
-        links.media_links(found, listed, SPEC), links.model_links(known, listed, SPEC)
-    )
-    return found, stage(both, scratch_path(spark, "links")), known
+    known = _models(spark, sf_dir)
+    return found, stage(_links(found, listed, known), scratch_path(spark, "links")), known
 
 
 def linked_records(spark, sf_dir):
@@ -92,8 +99,13 @@ def _as_rows(spark, values, name):
     return spark.createDataFrame([(v,) for v in values], f"{name} string")
 
 
+def _boundaries(listed: DataFrame) -> list[str]:
+    """Boundaries by the files catalog of a stored listing, in place of an earlier release."""
+    return ranges.key_boundaries(files.build_files(listed, SPEC), SPEC)
+
+
 def key_boundaries(spark, sf_dir):
-    return _as_rows(spark, ranges.key_boundaries(files_catalog(spark, sf_dir), SPEC), "boundary")
+    return _as_rows(spark, _boundaries(_stored_listing(spark, sf_dir)), "boundary")
 
 
 def page_url_quantiles(spark, sf_dir):
@@ -106,19 +118,19 @@ def document_source_quantiles(spark, sf_dir):
 
 
 def range_segments(spark, sf_dir):
-    boundaries = ranges.key_boundaries(files_catalog(spark, sf_dir), SPEC)
+    boundaries = _boundaries(_stored_listing(spark, sf_dir))
     return ranges.segments_frame(spark, ranges.make_segments(boundaries))
 
 
 def assign_segments(spark, sf_dir):
-    boundaries = ranges.key_boundaries(files_catalog(spark, sf_dir), SPEC)
-    return ranges.assign_segments(listing(spark, sf_dir), boundaries).select("key", "segment")
+    listed = _stored_listing(spark, sf_dir)
+    return ranges.assign_segments(listed, _boundaries(listed)).select("key", "segment")
 
 
 def scan_segment(spark, sf_dir):
     """Every segment scanned on its own; the union is the whole listing, each key once."""
-    segments = ranges.make_segments(ranges.key_boundaries(files_catalog(spark, sf_dir), SPEC))
-    listed = stage(listing(spark, sf_dir), scratch_path(spark, "listing"))
+    listed = _stored_listing(spark, sf_dir)
+    segments = ranges.make_segments(_boundaries(listed))
     scans = [ranges.scan_segment(listed, s).groupBy("segment").agg(
         F.count("key").alias("n"), F.min("key").alias("lowest"), F.max("key").alias("highest")
     ) for s in segments]
@@ -126,23 +138,23 @@ def scan_segment(spark, sf_dir):
 
 
 def segmented_write(spark, sf_dir):
-    boundaries = ranges.key_boundaries(files_catalog(spark, sf_dir), SPEC)
-    segmented = ranges.assign_segments(listing(spark, sf_dir), boundaries)
+    listed = _stored_listing(spark, sf_dir)
+    segmented = ranges.assign_segments(listed, _boundaries(listed))
     return sink.write_segments(segmented, scratch_path(spark, "segments"))
 
 
 def merge_listing(spark, sf_dir):
-    boundaries = ranges.key_boundaries(files_catalog(spark, sf_dir), SPEC)
-    shards = stage(ranges.assign_segments(listing(spark, sf_dir), boundaries), scratch_path(spark, "shards"))
-    path = scratch_path(spark, "listing")
+    listed, path = _stored_listing(spark, sf_dir), scratch_path(spark, "merged")
+    boundaries = _boundaries(listed)
+    shards = ranges.assign_segments(listed, boundaries)
     sink.merge_listing(shards, ranges.make_segments(boundaries), SPEC, path)
     return spark.read.parquet(path)
 
 
 def coverage_audit(spark, sf_dir):
-    boundaries = ranges.key_boundaries(files_catalog(spark, sf_dir), SPEC)
-    shards = ranges.assign_segments(listing(spark, sf_dir), boundaries)
-    return coverage(shards, ranges.make_segments(boundaries), SPEC)
+    listed = _stored_listing(spark, sf_dir)
+    boundaries = _boundaries(listed)
+    return coverage(ranges.assign_segments(listed, boundaries), ranges.make_segments(boundaries), SPEC)
 
 
 def record_files(spark, sf_dir):
@@ -243,9 +255,10 @@ def gate_prefix(spark, sf_dir):
 
 def _catalog(spark, sf_dir):
     """The three tables, written sorted to scratch space: their root."""
-    found, both, known = _stored_inputs(spark, sf_dir)
+    listed = _stored_listing(spark, sf_dir)
+    found, both, known = _stored_inputs(spark, sf_dir, listed)
     tables = {
-        "files": files_catalog(spark, sf_dir),
+        "files": files.build_files(listed, SPEC),
         "metadata": records.catalog_metadata(found, both, known),
         "linkages": both,
     }

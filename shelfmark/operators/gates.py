@@ -105,53 +105,44 @@ def sorted_gate(stored: DataFrame, output: Output) -> DataFrame:
 
 
 def _key_pair(
-    child: DataFrame, parent: DataFrame, key: str, child_outside: Column, parent_outside: Column
+    child: DataFrame, parent: DataFrame, key: str, child_bad: Mapping[str, Column], parent_bad: Mapping[str, Column]
 ) -> DataFrame:
     """All numbers about one key shared by two tables, in one row.
 
     Each table is grouped by the key once and the groups are joined where they lie; uniqueness,
-    references and prefixes then need no shuffles of their own. Grouping counts equal keys before
-    they are shuffled, so a frequent key weighs one row a task.
+    references and counts of bad rows then need no shuffles of their own. Grouping counts equal keys
+    before they are shuffled, so a frequent key weighs one row a task.
     """
 
-    def grouped(df: DataFrame, outside: Column, side: str) -> DataFrame:
-        return df.groupBy(key).agg(
-            F.count(F.lit(1)).alias(f"{side}_n"), F.count_if(outside).alias(f"{side}_outside")
-        )
+    def grouped(df: DataFrame, rows: str, bad: Mapping[str, Column]) -> DataFrame:
+        counts = [F.count_if(condition).alias(name) for name, condition in bad.items()]
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(rows), *counts)
 
-    pairs = grouped(child, child_outside, "child").join(
-        grouped(parent, parent_outside, "parent"), key, "full_outer"
-    )
-    none = F.lit(0)
+    pairs = grouped(child, "child_n", child_bad).join(grouped(parent, "parent_n", parent_bad), key, "full_outer")
     is_parent, value = F.col("parent_n").isNotNull(), F.col(key)
 
     def total(column: str, condition: Column | None = None) -> Column:
         counted = F.col(column) if condition is None else F.when(condition, F.col(column))
-        return F.coalesce(F.sum(counted), none)
+        return F.coalesce(F.sum(counted), F.lit(0))
 
     return pairs.agg(
         total("child_n").alias("child_rows"),
         total("child_n", ~is_parent).alias("orphans"),
-        total("child_outside").alias("child_outside"),
         total("parent_n").alias("rows"),
         F.count_if(is_parent & value.isNotNull()).alias("values"),
         total("parent_n", value.isNull()).alias("nulls"),
         total("parent_n", value == "").alias("blanks"),
-        total("parent_outside").alias("parent_outside"),
+        *[total(name).alias(name) for name in (*child_bad, *parent_bad)],
     )
 
 
 def content_gates(tables: Mapping[str, DataFrame], spec: CatalogSpec) -> list[DataFrame]:
-    """Uniqueness, presence, reference and prefix gates over the three tables."""
+    """Uniqueness, presence, reference, prefix and size gates over the three tables."""
     files, metadata, links = tables["files"], tables["metadata"], tables["linkages"]
-
-    def outside(column: str, prefix: str) -> Column:
-        return ~F.col(column).startswith(prefix)
-
-    urls = _key_pair(links, files, "url", outside("url", spec.base_url), outside("url", spec.base_url))
-    ids = _key_pair(
-        links, metadata, "record_id", F.lit(False), outside("metadata_url", spec.records_url)
-    )
+    foreign = ~F.col("url").startswith(spec.base_url)
+    foreign_record = ~F.col("metadata_url").startswith(spec.records_url)
+    urls = _key_pair(links, files, "url", {"link_bad": foreign}, {"file_bad": foreign, "negative": F.col("size") < 0})
+    ids = _key_pair(links, metadata, "record_id", {}, {"record_bad": foreign_record})
 
     def none_of(column: str, name: str, what: str) -> Column:
         return _gate(name, F.col(column) == 0, F.col(column), what)
@@ -160,15 +151,16 @@ def content_gates(tables: Mapping[str, DataFrame], spec: CatalogSpec) -> list[Da
         _rows(
             urls,
             _unique("files url unique", empty_allowed=True),
-            none_of("parent_outside", "files url prefix", f" outside {spec.base_url}"),
+            none_of("file_bad", "files url prefix", f" outside {spec.base_url}"),
+            none_of("negative", "files size", " negative sizes"),
             _gate("linkages present", F.col("child_rows") > 0, F.col("child_rows"), " rows"),
             none_of("orphans", "linkages url known", " rows with an unknown url"),
-            none_of("child_outside", "linkages url prefix", f" outside {spec.base_url}"),
+            none_of("link_bad", "linkages url prefix", f" outside {spec.base_url}"),
         ),
         _rows(
             ids,
             _unique("metadata record_id unique", empty_allowed=False),
-            none_of("parent_outside", "metadata url prefix", f" outside {spec.records_url}"),
+            none_of("record_bad", "metadata url prefix", f" outside {spec.records_url}"),
             none_of("orphans", "linkages record_id known", " rows with an unknown record_id"),
         ),
     ]
@@ -179,7 +171,7 @@ def table_gates(
     spec: CatalogSpec,
     previous: Mapping[str, DataFrame | None] | None = None,
 ) -> DataFrame:
-    """All gates that look at rows: schema, row counts, keys, references, prefixes."""
+    """All gates that do not need stored files: schema, row counts, keys, references, prefixes."""
     previous = previous or {}
     frames = [schema_gate(tables[o.name], o) for o in OUTPUTS]
     frames += [

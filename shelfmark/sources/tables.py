@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfmark.errors import ArchiveError
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """A stored table, or None where there is none yet."""
     try:
@@ -25,6 +22,12 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def register(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
+    """Make tables known to SQL under their names, replacing views of an earlier run."""
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table, in the folder ``spark.checkpoint.dir`` names.
 

@@ -35,7 +35,7 @@ def test_a_clean_stored_catalog_passes_every_gate(spark, spec, tmp_path):
     write_catalog(frames(spark, spec), f"{tmp_path}/c")
     report = gates.gate_report(read_catalog(spark, f"{tmp_path}/c"), spec)
     passed = gates.enforce(report)
-    assert len({g["name"] for g in passed}) == 17
+    assert len({g["name"] for g in passed}) == 18
 
 
 @pytest.mark.parametrize(
