@@ -42,7 +42,10 @@ def extract_records(metadata: DataFrame, spec: CatalogSpec) -> DataFrame:
     rows have no id). Write the result before using it twice, since each use parses again.
     """
     parsed = metadata.select(
-        F.from_json("content", schemas.RECORD_CONTENT).alias("c"), "unitCode", "content", "filename"
+        F.from_json("content", schemas.RECORD_CONTENT, schemas.WHOLE_SHAPE).alias("c"),
+        "unitCode",
+        "content",
+        "filename",
     )
     c, content = F.col("c"), F.col("content")
     described = c["descriptiveNonRepeating"]

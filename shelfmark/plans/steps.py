@@ -23,7 +23,7 @@ from shelfmark.schemas import FILES, OUTPUTS
 from shelfmark.sinks import tables as sink
 from shelfmark.sources.records import ingest_records
 from shelfmark.sources.scenes import load_scenes
-from shelfmark.sources.tables import read_if_exists, stage
+from shelfmark.sources.tables import read_if_exists, register, stage
 from shelfmark.spec import CatalogSpec
 
 logger = logging.getLogger(__name__)
@@ -49,6 +49,14 @@ class Rebuild:
     def listing(self) -> DataFrame:
         return self.spark.read.parquet(self.path("listing"))
 
+    def metadata(self) -> DataFrame:
+        """The three columns of the ingested records that the catalog uses."""
+        return self.spark.read.parquet(self.path("records")).select("unitCode", "content", "filename")
+
+    def register_inputs(self) -> None:
+        """Let SQL see the inputs of the catalog step as ``listing`` and ``metadata``."""
+        register(self.spark, {"listing": self.listing(), "metadata": self.metadata()})
+
     def previous_tables(self) -> dict[str, DataFrame | None]:
         """The tables of the earlier release; None for each that does not exist."""
         if self.previous is None:
@@ -81,8 +89,7 @@ class Rebuild:
         records (so JSON is parsed once), the scenes (so small files are read once) and the links.
         """
         spec, listing = self.spec, self.listing()
-        metadata = self.spark.read.parquet(self.path("records")).select("unitCode", "content", "filename")
-        records = stage(extract_records(metadata, spec), self.path("extracted"))
+        records = stage(extract_records(self.metadata(), spec), self.path("extracted"))
         malformed = records.where("malformed").count()
         if malformed and not self.allow_malformed:
             raise RecordError(f"{malformed} records hold content that is not JSON")

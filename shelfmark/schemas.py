@@ -46,6 +46,10 @@ RECORD_CONTENT = """
         online_media: STRUCT<media: ARRAY<STRUCT<resources: ARRAY<STRUCT<url: STRING>>>>>>,
     _corrupt_record STRING
 """
+# Options for parsing with _corrupt_record. Stating the default mode keeps the optimizer from
+# narrowing the schema to the fields in use, which would leave other fields' faults unnoticed.
+WHOLE_SHAPE = {"mode": "PERMISSIVE"}
+
 MEDIA_PATH = "$.descriptiveNonRepeating.online_media.media"
 
 SCENE_FILE = T.StructType(_strings("metas", "_corrupt_record"))

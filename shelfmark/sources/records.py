@@ -18,19 +18,27 @@ logger = logging.getLogger(__name__)
 BAD_LINE = "_corrupt_record"
 
 
-def read_records(spark: SparkSession, paths: Sequence[str], tolerant: bool = False) -> DataFrame:
+def read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All lines of the files with the declared columns and their ``filename``.
 
-    A line that is not JSON or has a wrong type fails the read. A tolerant read keeps it as a row
-    whose ``_corrupt_record`` holds the line.
+    A line that is not JSON or has a wrong type fails the read.
     """
-    schema = schemas.RECORD_LINES
-    if tolerant:
-        schema = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE" if tolerant else "FAILFAST")
+    reader = spark.read.schema(schemas.RECORD_LINES).option("mode", "FAILFAST")
     return reader.json(list(paths)).withColumn("filename", source_path())
 
 
+def read_records_tolerantly(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Like ``read_records``, but a bad line becomes a row that holds it in ``_corrupt_record``.
+
+    Lines are read as text, because the JSON reader cannot be asked for its bad lines alone.
+    """
+    schema = T.StructType([*schemas.RECORD_LINES.fields, T.StructField(BAD_LINE, T.StringType())])
+    lines = spark.read.text(list(paths)).where(F.trim("value") != "")
+    record = F.from_json("value", schema, schemas.WHOLE_SHAPE)
+    parsed = lines.select(record.alias("record"), source_path().alias("filename"))
+    return parsed.select("record.*", "filename")
+
+
 def split_bad_lines(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A tolerant read as (good records, bad lines with their file)."""
     bad = F.col(BAD_LINE).isNotNull()
@@ -50,7 +58,7 @@ def ingest_records(
     if bad_lines is None:
         read_records(spark, paths).write.mode("overwrite").parquet(out)
     else:
-        good, bad = split_bad_lines(read_records(spark, paths, tolerant=True))
+        good, bad = split_bad_lines(read_records_tolerantly(spark, paths))
         good.write.mode("overwrite").parquet(out)
         bad.write.mode("overwrite").parquet(bad_lines)
     written = spark.read.parquet(out)

@@ -50,6 +50,7 @@ def test_a_clean_stored_catalog_passes_every_gate(spark, spec, tmp_path):
         ("metadata", ("X", "x_99", "T", None, "https://else.example/00.txt"), "metadata url prefix", "1 outside"),
         ("files", ("https://else.example/a.jpg", 1), "files url prefix", "1 outside"),
         ("files", ("{base}media/x/3.jpg", 1), "files url unique", "1 duplicates, 0 null, 0 empty"),
+        ("files", ("{base}media/x/neg.jpg", -1), "files size", "1 negative sizes"),
         ("files", (None, 1), "files url unique", "1 duplicates, 1 null, 0 empty"),
     ],
 )

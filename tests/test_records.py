@@ -60,6 +60,8 @@ def test_fields_come_from_the_top_or_from_below(spark, spec):
 def test_media_of_any_shape(spark, spec, media, names):
     row = extracted(spark, spec, with_media(media, title="T"))
     assert row["media_names"] == names
+    alone = records.extract_records(metadata(spark, spec, with_media(media)), spec).select("media_names")
+    assert alone.first()[0] == names
     assert (row["record_id"], row["title"], row["malformed"]) == ("r", "T", False)
 
 
