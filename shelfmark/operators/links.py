@@ -27,13 +27,14 @@ def media_links(
     where they are smallest; as a url has one file name, their pairs are then distinct too and the
     much larger result needs no shuffle of its own. A listing that passed its coverage audit has
     unique keys, which ``unique_keys`` states to save the shuffle on that side.
+
+    Files of other extensions cannot be mentioned and are dropped first. That filter looks at the
+    end of the key, not at file_name: Spark would copy a filter on the join column to the other side
+    of the join only, and then could not reuse that side's shuffle for counting its keys.
     """
-    files = listing.where(
-        F.col("key").startswith(spec.media_prefix)
-        & is_file()
-        # no mention has another extension, so other files cannot match
-        & F.rlike(F.lower(file_name(F.col("key"))), F.lit(spec.link_name_pattern))
-    ).select(file_name(F.col("key")).alias("file_name"), public_url(F.col("key"), spec).alias("url"))
+    key = F.col("key")
+    wanted = key.startswith(spec.media_prefix) & F.rlike(F.lower(key), F.lit(spec.link_name_pattern))
+    files = listing.where(wanted).select(file_name(key).alias("file_name"), public_url(key, spec).alias("url"))
     if not unique_keys:
         files = files.distinct()
     return spread_join(media_references(records), files, "file_name").select("url", "record_id")
@@ -43,11 +44,9 @@ def model_links(
     models: DataFrame, listing: DataFrame, spec: CatalogSpec, unique_keys: bool = False
 ) -> DataFrame:
     """Distinct ``(url, record_id)`` linking every file of a 3D model to that model's record."""
-    files = (
-        listing.where(F.col("key").startswith(spec.models_prefix) & is_file())
-        .select(model_id(F.col("key"), spec).alias("model_id"), public_url(F.col("key"), spec).alias("url"))
-        .where("model_id != ''")
-    )
+    key = F.col("key")
+    wanted = key.startswith(spec.models_prefix) & F.rlike(key, F.lit(spec.model_pattern)) & is_file()
+    files = listing.where(wanted).select(model_id(key, spec).alias("model_id"), public_url(key, spec).alias("url"))
     if not unique_keys:
         files = files.distinct()
     owners = models.select("model_id", "record_id").distinct()

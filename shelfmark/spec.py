@@ -30,7 +30,7 @@ class CatalogSpec:
     scene_id_field: str = "edanRecordId"
     scene_id_prefix: str = "edanmdm:"
     model_id_length: int = 36
-    link_extensions: str = "(jpe?g|tiff?|pdf)"
+    link_extensions: str = "(jpe?g|tiff?|pdf)"  # ends of file names, so without a slash
 
     # Tolerances of the checks.
     segments: int = 64

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,24 @@ def test_a_spread_join_with_an_empty_side_is_empty(spark):
     left, right = hot_sides(spark)
     assert spread_join(left.where("false"), right, "k").count() == 0
     assert spread_join(left, right.where("false"), "k").count() == 0
+
+
+def subplans(frame, column):
+    """The subtrees under each exchange by ``column``, without ids."""
+    lines = frame._jdf.queryExecution().executedPlan().toString().split("\n")
+    depths = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if f"Exchange hashpartitioning({column}#" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depths[j] <= depths[i]), len(lines))
+            found.append(tuple(re.sub(r"(#|plan_id=|x_)\d+L?", "", x.lstrip(" :+-")) for x in lines[i:end]))
+    return found
+
+
+def test_counting_keys_reuses_the_shuffles_of_the_join(spark, spec, tmp_path):
+    records(spark, [("r1", ["a.jpg"])]).write.parquet(f"{tmp_path}/r")
+    listing(spark, [P + "media/x/a.jpg"]).write.parquet(f"{tmp_path}/l")
+    found = links.media_links(spark.read.parquet(f"{tmp_path}/r"), spark.read.parquet(f"{tmp_path}/l"), spec)
+    mentions = subplans(found, "record_id")
+    assert len(mentions) > 1
+    assert len(set(mentions)) == 1
