@@ -176,7 +176,7 @@ def url_query_param(spark, sf_dir):
 
 
 def malformed_documents(spark, sf_dir):
-    """Record texts cut off after every seventh order's first characters must be told apart."""
+    """Record texts, every seventh order's cut off at its end: how many of a file are no JSON."""
     cut = F.expr("CASE WHEN rank % 7 = 0 THEN substr(content, 1, length(content) - 3) ELSE content END")
     texts = metadata(spark, sf_dir).select(
         "filename", "content", F.regexp_extract("content", "Nested ([0-9]+)", 1).cast("long").alias("rank")
@@ -272,7 +272,7 @@ def gate_report(spark, sf_dir):
 
 
 def catalog_write(spark, sf_dir):
-    """Stored metadata with its neighbours' ids, so that the stored order shows in the rows."""
+    """The metadata table as it is read back after the sorted write."""
     return sink.read_catalog(spark, _catalog(spark, sf_dir))["metadata"]
 
 
