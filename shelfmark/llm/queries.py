@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import toxicity
+from shelfmark.llm import line_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,11 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.op3(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.op2(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
 }
