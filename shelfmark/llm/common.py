@@ -99,3 +99,29 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         edges.select("b", "b").distinct().toDF("node", "root")
     )
+
+
+SKETCH_WORDS = 1 << 16  # of 64 bits: half a MB, whatever the number of values
+
+
+def sketch_bit(value: Column) -> Column:
+    """The place of a bigint value in a sketch of ``SKETCH_WORDS`` words."""
+    return F.pmod(F.xxhash64(value), F.lit(SKETCH_WORDS * 64))
+
+
+def sketch(values: DataFrame, column: str) -> DataFrame:
+    """A set of bigint values as bits ``(word, bits)``: at most ``SKETCH_WORDS`` rows, so safe to broadcast.
+
+    It only tells which values cannot be in the set; with more values it lets more others pass.
+    """
+    bit = sketch_bit(F.col(column))
+    mask = F.expr("shiftleft(1L, int(__bit & 63))")
+    marked = values.select(bit.alias("__bit")).select(F.shiftrightunsigned("__bit", 6).alias("__word"), mask.alias("__mask"))
+    return marked.groupBy("__word").agg(F.bit_or("__mask").alias("__bits"))
+
+
+def maybe_in(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` may be among ``values`` (a sketch): all that are, and few others."""
+    placed = rows.withColumn("__bit", sketch_bit(F.col(column))).withColumn("__word", F.shiftrightunsigned("__bit", 6))
+    found = placed.join(F.broadcast(values), "__word").where("(shiftrightunsigned(__bits, int(__bit & 63)) & 1) = 1")
+    return found.select(*rows.columns)

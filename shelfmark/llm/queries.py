@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import line_dedup, toxicity
+from shelfmark.llm import jaccard, line_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +19,12 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.op2(_table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard.op9(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
+    "op9_jaccard_join": op9_jaccard_join,
 }
