@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,24 +105,34 @@ def components(links: DataFrame) -> DataFrame:
 SKETCH_WORDS = 1 << 16  # of 64 bits: half a MB, whatever the number of values
 
 
-def sketch_bit(value: Column) -> Column:
-    """The place of a bigint value in a sketch of ``SKETCH_WORDS`` words."""
-    return F.pmod(F.xxhash64(value), F.lit(SKETCH_WORDS * 64))
-
-
 def sketch(values: DataFrame, column: str) -> DataFrame:
-    """A set of bigint values as bits ``(word, bits)``: at most ``SKETCH_WORDS`` rows, so safe to broadcast.
+    """A set of bigint values (ids or hashes) as bits ``(__word, __bits)``: at most ``SKETCH_WORDS`` rows.
 
     It only tells which values cannot be in the set; with more values it lets more others pass.
     """
-    bit = sketch_bit(F.col(column))
-    mask = F.expr("shiftleft(1L, int(__bit & 63))")
-    marked = values.select(bit.alias("__bit")).select(F.shiftrightunsigned("__bit", 6).alias("__word"), mask.alias("__mask"))
+    bit = F.col(column).bitwiseAND(F.lit(SKETCH_WORDS * 64 - 1))
+    mask = F.expr("shiftleft(1L, int(__bit & 63))").alias("__mask")
+    marked = values.select(bit.alias("__bit")).select(F.shiftrightunsigned("__bit", 6).alias("__word"), mask)
     return marked.groupBy("__word").agg(F.bit_or("__mask").alias("__bits"))
 
 
 def maybe_in(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` may be among ``values`` (a sketch): all that are, and few others."""
-    placed = rows.withColumn("__bit", sketch_bit(F.col(column))).withColumn("__word", F.shiftrightunsigned("__bit", 6))
+    bit = F.col(column).bitwiseAND(F.lit(SKETCH_WORDS * 64 - 1))
+    placed = rows.withColumn("__bit", bit).withColumn("__word", F.shiftrightunsigned("__bit", 6))
     found = placed.join(F.broadcast(values), "__word").where("(shiftrightunsigned(__bits, int(__bit & 63)) & 1) = 1")
     return found.select(*rows.columns)
+
+
+def sketch_array(values: DataFrame) -> np.ndarray:
+    """The words of a sketch as one array, for use in Python workers."""
+    words = np.zeros(SKETCH_WORDS, np.uint64)
+    rows = values.toArrow()
+    words[rows["__word"].to_numpy()] = rows["__bits"].to_numpy().view(np.uint64)
+    return words
+
+
+def maybe_in_array(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of some unsigned 64-bit values may be in a sketch."""
+    bit = values & np.uint64(SKETCH_WORDS * 64 - 1)
+    return (words[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1

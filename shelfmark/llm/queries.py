@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import jaccard, line_dedup, toxicity
+from shelfmark.llm import decontamination, jaccard, line_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +23,13 @@ def op9_jaccard_join(spark, sf_dir):
     return jaccard.op9(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark, sf_dir):
+    return decontamination.op7(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
 }
