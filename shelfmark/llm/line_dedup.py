@@ -137,21 +137,38 @@ def document_key():
     return F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("hash"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
-    """All rows and columns of ``docs`` with the deleted lines gone from ``text``.
-
-    Two columns are added: ``lines_deleted`` (int, 0 for null texts) and ``emptied`` (boolean: it lost
-    lines, and only blank ones are left).
-    """
+def _dedup(docs: DataFrame, min_words: int, rare_share: float) -> DataFrame:
+    """``docs`` with the new text, the number of deleted lines and whether only blank ones are left."""
     found = deletions(docs, min_words, rare_share).select(F.col("key").alias("__key"), F.col("deleted").alias("__deleted"))
     joined = docs.withColumn("__key", document_key()).join(found, "__key", "left")
     # only texts that lose lines go through Python
     cut = _without(F.when(F.col("__deleted").isNotNull(), F.col("text")), F.col("__deleted"))
     joined = joined.withColumn("__left", cut)
-    gone = F.coalesce(F.col("__left") == "", F.lit(False))
     text = F.when(F.col("__deleted").isNull(), F.col("text")).otherwise(F.col("__left"))
     columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*columns, F.coalesce(F.size("__deleted"), F.lit(0)).alias("lines_deleted"), gone.alias("emptied"))
+    count = F.coalesce(F.size("__deleted"), F.lit(0)).alias("__count")
+    return joined.select(*columns, count, F.coalesce(F.col("__left") == "", F.lit(False)).alias("__emptied"))
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
+    """All rows and columns of ``docs`` with the deleted lines gone from ``text``.
+
+    Two columns are added: ``lines_deleted`` (int) and ``emptied`` (boolean: it lost lines, and only
+    blank ones are left).
+    """
+    return _dedup(docs, min_words, rare_share).withColumnsRenamed({"__count": "lines_deleted", "__emptied": "emptied"})
+
+
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
+    """``docs`` with the deleted lines gone, and without the documents that this empties.
+
+    A column ``n_chars`` is brought up to date.
+    """
+    left = _dedup(docs, min_words, rare_share).where("NOT __emptied")
+    if "n_chars" in docs.columns:
+        n = F.when(F.col("__count") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
+    return left.select(*(f"`{c}`" for c in docs.columns))
 
 
 @F.pandas_udf("string")

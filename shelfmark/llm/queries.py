@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontamination, jaccard, line_dedup, toxicity
+from shelfmark.llm import decontamination, jaccard, line_dedup, packing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +27,14 @@ def op7_decontamination(spark, sf_dir):
     return decontamination.op7(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_packing(spark, sf_dir):
+    return packing.op5(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
+    "op5_packing": op5_packing,
     "op7_decontamination": op7_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
 }

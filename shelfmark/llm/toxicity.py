@@ -335,6 +335,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     return docs.withColumn("toxicity", scorer(docs.sparkSession, model)(F.coalesce("text", F.lit(""))))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that score below one half."""
+    model = fit(docs, labels.where(~held_out(F.col("doc_id"))), **options)
+    scored = docs.withColumn("__toxicity", scorer(docs.sparkSession, model)(F.coalesce("text", F.lit(""))))
+    return scored.where("__toxicity.score < 0.5").drop("__toxicity")
+
+
 def op3(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The score of every document, with the examples it rests on."""
     found = score_documents(docs.select("doc_id", "text"), labels)
