@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontamination, jaccard, line_dedup, packing, toxicity
+from shelfmark.llm import decontamination, jaccard, licenses, line_dedup, neighbours, packing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +31,20 @@ def op5_packing(spark, sf_dir):
     return packing.op5(_table(spark, sf_dir, "documents"))
 
 
+def op6_neighbours(spark, sf_dir):
+    return neighbours.op6(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_license_scan(spark, sf_dir):
+    return licenses.op8(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
     "op5_packing": op5_packing,
+    "op6_neighbours": op6_neighbours,
     "op7_decontamination": op7_decontamination,
+    "op8_license_scan": op8_license_scan,
     "op9_jaccard_join": op9_jaccard_join,
 }
