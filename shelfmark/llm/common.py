@@ -116,12 +116,16 @@ def sketch(values: DataFrame, column: str) -> DataFrame:
     return marked.groupBy("__word").agg(F.bit_or("__mask").alias("__bits"))
 
 
-def maybe_in(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` may be among ``values`` (a sketch): all that are, and few others."""
+def maybe_in(rows: DataFrame, values: DataFrame, column: str, keep: bool = True) -> DataFrame:
+    """Rows whose ``column`` may be among ``values`` (a sketch): all that are, and few others.
+
+    With ``keep`` false, the other rows: their value is surely not among them, or null.
+    """
     bit = F.col(column).bitwiseAND(F.lit(SKETCH_WORDS * 64 - 1))
     placed = rows.withColumn("__bit", bit).withColumn("__word", F.shiftrightunsigned("__bit", 6))
-    found = placed.join(F.broadcast(values), "__word").where("(shiftrightunsigned(__bits, int(__bit & 63)) & 1) = 1")
-    return found.select(*rows.columns)
+    found = placed.join(F.broadcast(values), "__word", "left")
+    hit = F.expr("coalesce((shiftrightunsigned(__bits, int(__bit & 63)) & 1) = 1, false)")
+    return found.where(hit if keep else ~hit).select(*rows.columns)
 
 
 def sketch_array(values: DataFrame) -> np.ndarray:

@@ -1,3 +1,18 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+# SHA-1 in hexadecimal digits, as base 32: eight characters from each ten digits
+WARC = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex FROM payloads),
+named AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(hex, ((i // 8) * 10 + 1)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest
+  FROM digests),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM named)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM firsts"""
+
+ORACLES: dict[str, str] = {"op4_warc": WARC}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontamination, jaccard, licenses, line_dedup, neighbours, packing, toxicity
+from shelfmark.llm import decontamination, jaccard, licenses, line_dedup, neighbours, packing, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,9 +39,14 @@ def op8_license_scan(spark, sf_dir):
     return licenses.op8(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark, sf_dir):
+    return warc.op4(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_warc": op4_warc,
     "op5_packing": op5_packing,
     "op6_neighbours": op6_neighbours,
     "op7_decontamination": op7_decontamination,
