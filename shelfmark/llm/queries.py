@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontamination, jaccard, licenses, line_dedup, neighbours, packing, toxicity, warc
+from shelfmark.llm import chat, decontamination, jaccard, licenses, line_dedup, neighbours, packing, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op4_warc(spark, sf_dir):
     return warc.op4(_table(spark, sf_dir, "pages"))
 
 
+def op10_chat_format(spark, sf_dir):
+    return chat.op10(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
@@ -52,4 +56,5 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_license_scan": op8_license_scan,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_chat_format": op10_chat_format,
 }
