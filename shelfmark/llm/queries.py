@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import chat, decontamination, jaccard, licenses, line_dedup, neighbours, packing, toxicity, warc
+from shelfmark.llm import chat, decontamination, jaccard, licenses, line_dedup, neighbours, packing, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +47,12 @@ def op10_chat_format(spark, sf_dir):
     return chat.op10(_table(spark, sf_dir, "conversations"))
 
 
+def op1_quality(spark, sf_dir):
+    return quality.op1(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
