@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from shelfmark.llm.licenses import BAND, BASE, COVERAGE, GRAM, MORE, STRETCH
+
 # SHA-1 in hexadecimal digits, as base 32: eight characters from each ten digits
 WARC = """
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
@@ -15,4 +17,42 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id <> first_page THEN first_page END AS refers_to
 FROM firsts"""
 
-ORACLES: dict[str, str] = {"op4_warc": WARC}
+# the same votes with the words themselves instead of their hashes
+LICENSES = f"""
+WITH templates(template, label, is_base, phrase) AS (VALUES {", ".join(
+    f"({n}, '{label}', {str(n < len(BASE)).lower()}, '{text}')" for n, (label, text) in enumerate((*BASE, *MORE)))}),
+grams AS (
+  SELECT template, label, is_base, len(w)::INT AS n_words, t::INT AS t, w[t + 1 : t + {GRAM}] AS gram
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM templates), LATERAL (SELECT unnest(range(len(w) - {GRAM - 1})) AS t)),
+texts AS (
+  SELECT doc_id, text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+rolled AS (
+  SELECT DISTINCT doc_id, text, i::INT AS d, words[i + 1 : i + {GRAM}] AS gram
+  FROM texts, LATERAL (SELECT unnest(range(len(words) - {GRAM - 1})) AS i)),
+votes AS (SELECT *, d - t AS diagonal FROM rolled JOIN grams USING (gram)),
+diagonals AS (
+  SELECT doc_id, text, template, label, is_base, n_words, diagonal, list(DISTINCT t) AS found, min(d) AS low, max(d) AS high
+  FROM votes GROUP BY ALL),
+marked AS (
+  SELECT *, len(found) = n_words - {GRAM - 1} AS exact,
+    coalesce(diagonal - lag(diagonal) OVER by_template > least({BAND}, n_words - {GRAM - 1}), true) AS far
+  FROM diagonals WINDOW by_template AS (PARTITION BY doc_id, text, template ORDER BY diagonal)),
+numbered AS (SELECT *, sum(far::INT) OVER (PARTITION BY doc_id, text, template ORDER BY diagonal) AS span FROM marked),
+spans AS (
+  SELECT doc_id, text, template, label, is_base, n_words, len(list_distinct(flatten(list(found)))) / (n_words - {GRAM - 1})::DOUBLE AS coverage,
+    max(high) + {GRAM} - min(low) AS length, count(*) FILTER (exact) AS n_places,
+    min(diagonal) FILTER (exact) AS first_place, max(diagonal) FILTER (exact) AS last_place
+  FROM numbered GROUP BY doc_id, text, template, label, is_base, n_words, span),
+kept AS (SELECT * FROM spans WHERE n_places > 0 OR (coverage >= {COVERAGE} AND length <= n_words * {STRETCH})),
+found AS (
+  SELECT doc_id, text, coalesce(sum(n_places) FILTER (is_base), 0)::BIGINT AS n_base,
+    min(first_place) FILTER (is_base)::BIGINT AS first_word, max(last_place) FILTER (is_base)::BIGINT AS last_word,
+    list(DISTINCT label) FILTER (is_base AND n_places > 0) AS base, list(DISTINCT label) AS every, max(coverage) AS score
+  FROM kept GROUP BY doc_id, text)
+SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(f.n_base, 0)::BIGINT AS n_base, f.first_word, f.last_word,
+  coalesce(array_to_string(list_sort(f.base), ','), '') AS base_labels, coalesce(array_to_string(list_sort(f.every), ','), '') AS labels,
+  coalesce(f.score, 0)::DOUBLE AS score
+FROM texts t LEFT JOIN found f ON t.doc_id IS NOT DISTINCT FROM f.doc_id AND t.text IS NOT DISTINCT FROM f.text"""
+
+ORACLES: dict[str, str] = {"op4_warc": WARC, "op8_license_scan": LICENSES}
