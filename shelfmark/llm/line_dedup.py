@@ -1,11 +1,14 @@
 """Line dedup by pairwise alignment: common blocks of lines go from the later of two documents.
 
-Every line that several documents share points each of them at the first document that has it, which
-makes pairs in proportion to the shared lines, however many documents share one. A line founds a pair
-if it is rare, or long enough to be a block alone. The lines of each pair are aligned by patience diff:
-common beginnings and ends, then lines that occur once on both sides, in their longest common order,
-and the same again between these. Aligned lines that follow each other on both sides make a block;
-blocks of at least ``min_words`` words are deleted from the later document.
+What founds a pair is a shared line that is rare because it is long: at each line begins a run of as many
+lines as have ``min_words`` words together, and the run's hash points every document that holds it at the
+first that does. That makes pairs in proportion to the lines, however many documents share one, and any
+block of so many words that occurs in an earlier document begins with such a run. The lines of each pair
+are aligned by patience diff: common beginnings and ends, then lines that occur once on both sides, in
+their longest common order, and the same again between these; where only repeated lines are left, the first of
+one side goes with the first of the other. Aligned lines that follow each other on both
+sides make a block; blocks of at least ``min_words`` words are deleted from the later document, and the
+rest is aligned again until nothing is found, as blocks may have changed places.
 
 Documents are ordered by (doc_id, hash of the text), nulls first. Defined cases: a null text stays
 null, an empty one empty; blank lines are neither compared nor deleted; rows that repeat doc_id and
@@ -15,19 +18,19 @@ of their own. A document of which only blank lines are left gets the empty text.
 
 from __future__ import annotations
 
+import struct
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import join_counted, staged
 
 MIN_WORDS = 20  # of a block that is deleted
-ANCHOR_WORDS = 5  # of a line that can found a pair
-RARE_SHARE = 0.01  # of the documents, for a line to be rare
 ROWS_PER_COPY = 10_000  # pairs with one first document that share a copy of its lines
 
 
@@ -61,6 +64,11 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
         at = {h: j for j, h in enumerate(b[b0:b1], b0) if in_b[h] == 1}
         anchors = _ordered([(i, at[h]) for i, h in enumerate(a[a0:a1], a0) if in_a[h] == 1 and h in at])
+        if not anchors:  # repeated lines only: the first of one side with the first of the other, and so on
+            places = defaultdict(list)
+            for j in range(b1 - 1, b0 - 1, -1):
+                places[b[j]].append(j)
+            anchors = _ordered([(i, places[a[i]].pop()) for i in range(a0, a1) if places.get(a[i])])
         if anchors:
             aligned += anchors
             edges = [(a0 - 1, b0 - 1), *anchors, (a1, b1)]
@@ -70,17 +78,52 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[int]:
     """Positions in ``b`` of aligned blocks with at least ``min_words`` words; ``words`` belong to ``b``."""
-    found, block, last = [], [], (-2, -2)
-    for i, j in [*patience(a, b), (-9, -9)]:
-        if (i, j) != (last[0] + 1, last[1] + 1):
-            if sum(words[n] for n in block) >= min_words:
-                found += block
-            block = []
-        block.append(j)
-        last = (i, j)
+    left, found = list(range(len(b))), []
+    while True:
+        more, block, last = [], [], (-2, -2)
+        aligned = [(i, left[j]) for i, j in patience(a, [b[j] for j in left])]
+        for i, j in [*aligned, (-9, -9)]:
+            if (i, j) != (last[0] + 1, last[1] + 1):
+                if sum(words[n] for n in block) >= min_words:
+                    more += block
+                block = []
+            block.append(j)
+            last = (i, j)
+        if not more:
+            return sorted(found)
+        found += more
+        gone = set(more)
+        left = [j for j in left if j not in gone]
+
+
+def runs(hashes: list[int], words: list[int], min_words: int) -> set[int]:
+    """Hashes of the shortest runs of lines with at least ``min_words`` words, one from each line."""
+    found, end, total = set(), 0, 0
+    for start in range(len(hashes)):
+        while total < min_words and end < len(hashes):
+            total += words[end]
+            end += 1
+        if total < min_words:
+            break
+        found.add(xxhash.xxh3_64_intdigest(struct.pack(f"{end - start}q", *hashes[start:end])) - (1 << 63))
+        total -= words[start]
     return found
 
 
+def _run_reader(min_words: int):
+    def read(batches):
+        for batch in batches:
+            keys, out = [], []
+            for n, lines in enumerate(batch.column("lines").to_pylist()):
+                some = [x for x in lines if x["words"]]
+                found = sorted(runs([x["hash"] for x in some], [x["words"] for x in some], min_words))
+                keys += [n] * len(found)
+                out += found
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(keys, pa.int64())), pa.array(out, pa.int64())], ["key", "hash"])
+
+    return read
+
+
 def _aligner(min_words: int):
     def align(batches):
         for batch in batches:
@@ -96,7 +139,7 @@ def _aligner(min_words: int):
     return align
 
 
-def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
+def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``(key, deleted)``: line positions to delete from each document that loses some.
 
     ``key`` is the struct (doc_id, xxhash64 of the text).
@@ -106,16 +149,10 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS, rare_share: float = R
         if({trimmed} = '', 0, length({trimmed}) - length(replace({trimmed}, ' ', '')) + 1)))"""
     every = docs.where("text IS NOT NULL").select(document_key().alias("key"), F.expr(lines).alias("lines"))
     every = staged(every, "lines")
-    n_docs = every.count()
     once = every.dropDuplicates(["key"])
-    anchors = f"""array_distinct(transform(filter(lines, x -> x.words >= {ANCHOR_WORDS}),
-        x -> named_struct('hash', x.hash, 'long', x.words >= {min_words})))"""
-    held = once.select("key", F.explode(F.expr(anchors)).alias("line")).select("key", "line.*")
-    holders = held.groupBy("hash").agg(F.min("key").alias("first"), F.count("*").alias("n"), F.max("long").alias("long"))
-    holders = staged(holders.where("n > 1"), "holders")
-    founding = holders.where(F.col("long") | (F.col("n") <= 2) | (F.col("n") <= rare_share * n_docs)).drop("long")
-    total = held.count()
-    pairs = join_counted(held.select("hash", "key"), founding, "hash", "n", total)
+    held = staged(once.mapInArrow(_run_reader(min_words), "key struct<doc_id:bigint,hash:bigint>, hash bigint"), "runs")
+    holders = held.groupBy("hash").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
+    pairs = join_counted(held.select("hash", "key"), holders, "hash", "n", held.count())
     pairs = staged(pairs.where("first IS NOT NULL AND key > first").select("key", "first").distinct(), "pairs")
     partners = pairs.groupBy("first").agg(F.count("*").alias("n"))
     copies = F.ceil(F.col("n") / ROWS_PER_COPY).cast("int")
@@ -137,12 +174,12 @@ def document_key():
     return F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("hash"))
 
 
-def _dedup(docs: DataFrame, min_words: int, rare_share: float) -> DataFrame:
+def _dedup(docs: DataFrame, min_words: int) -> DataFrame:
     """``docs`` with the new text, the number of deleted lines and whether only blank ones are left."""
-    found = deletions(docs, min_words, rare_share).select(F.col("key").alias("__key"), F.col("deleted").alias("__deleted"))
+    found = deletions(docs, min_words).select(F.col("key").alias("__key"), F.col("deleted").alias("__deleted"))
     joined = docs.withColumn("__key", document_key()).join(found, "__key", "left")
     # only texts that lose lines go through Python
-    cut = _without(F.when(F.col("__deleted").isNotNull(), F.col("text")), F.col("__deleted"))
+    cut = F.pandas_udf(_without, "string")(F.when(F.col("__deleted").isNotNull(), F.col("text")), F.col("__deleted"))
     joined = joined.withColumn("__left", cut)
     text = F.when(F.col("__deleted").isNull(), F.col("text")).otherwise(F.col("__left"))
     columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
@@ -150,28 +187,27 @@ def _dedup(docs: DataFrame, min_words: int, rare_share: float) -> DataFrame:
     return joined.select(*columns, count, F.coalesce(F.col("__left") == "", F.lit(False)).alias("__emptied"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` with the deleted lines gone from ``text``.
 
     Two columns are added: ``lines_deleted`` (int) and ``emptied`` (boolean: it lost lines, and only
     blank ones are left).
     """
-    return _dedup(docs, min_words, rare_share).withColumnsRenamed({"__count": "lines_deleted", "__emptied": "emptied"})
+    return _dedup(docs, min_words).withColumnsRenamed({"__count": "lines_deleted", "__emptied": "emptied"})
 
 
-def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the deleted lines gone, and without the documents that this empties.
 
     A column ``n_chars`` is brought up to date.
     """
-    left = _dedup(docs, min_words, rare_share).where("NOT __emptied")
+    left = _dedup(docs, min_words).where("NOT __emptied")
     if "n_chars" in docs.columns:
         n = F.when(F.col("__count") > 0, F.length("text")).otherwise(F.col("n_chars"))
         left = left.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
     return left.select(*(f"`{c}`" for c in docs.columns))
 
 
-@F.pandas_udf("string")
 def _without(texts: pd.Series, deleted: pd.Series) -> pd.Series:
     """Texts without the lines at these positions, or the empty text if only blank lines are left."""
 
