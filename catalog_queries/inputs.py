@@ -19,16 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table stored in fewer files than there are cores, dealt out to all of them.
-
-    The given tables are one small file each, which one task reads; what follows the read (JSON
-    parsing above all) would stay in that task. A large table has files enough and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, df.columns[0]) if len(df.inputFiles()) < cores else df
-
-
 _UNIT = "lower(replace(substr(o_orderpriority, 3), ' ', '_'))"
 _NAME = "concat('ORD-', o_orderkey, element_at(array('.jpg', '.TIF', '.pdf', '.jpeg', '.txt'), cast(o_orderkey % 5 AS int) + 1))"
 _THEN = "timestamp_ntz'2026-01-01 00:00:00'"
@@ -42,7 +32,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders give media files, every tenth of them a second time in another folder; suppliers two
     files of a model; nations a record file, a folder marker and two files of no interest.
     """
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     media = orders.select(
         F.explode(
             F.expr(f"CASE WHEN o_orderkey % 10 = 3 THEN array({_UNIT}, 'copies') ELSE array({_UNIT}) END")
@@ -98,9 +88,9 @@ _CONTENT = """concat(
 )"""
 
 
-def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """unitCode, content, filename."""
-    emitted = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")).select(
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o_orderkey, unitCode, content, filename."""
+    emitted = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_custkey",
         F.expr(_RECORD_ID).alias("record_id"),
@@ -111,12 +101,52 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     number = "cast((o_custkey + copy) % 25 AS int)"
     return emitted.select(
+        "o_orderkey",
         F.expr("CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE unit END").alias("unitCode"),
         F.expr(_CONTENT).alias("content"),
         F.expr(f"concat('s3://store/arc/pub/metadata/edan/', {_RECORD_FILE.format(n=number)})").alias("filename"),
     )
 
 
+def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """unitCode, content, filename."""
+    return _records(spark, sf_dir).drop("o_orderkey")
+
+
+# Faults put into a text by its order: text behind the value, two values, marks that do not belong, a
+# cut text; and a blank or names that repeat, which are none.
+_FAULTY = """CASE o_orderkey % 29
+    WHEN 1 THEN concat({text}, ' junk') WHEN 2 THEN concat({text}, {text}) WHEN 3 THEN concat({text}, ',')
+    WHEN 4 THEN concat({text}, ']') WHEN 5 THEN concat({text}, '}}') WHEN 6 THEN substr({text}, 1, length({text}) - 3)
+    WHEN 7 THEN concat({text}, ' ') WHEN 8 THEN concat('{{"label":1,"label":2,', substr({text}, 2)) ELSE {text} END"""
+# A line of a record file, the content as a JSON string.
+_LINE = """concat('{{"id":"', md5(content), '","unitCode":', coalesce('"' || {unit} || '"', 'null'), ',"content":"',
+    replace(content, '"', {quote}), '","timestamp":', length(content), '}}')"""
+
+
+def faulty_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``metadata``, with faults in the content."""
+    content = F.expr(_FAULTY.format(text="content"))
+    return _records(spark, sf_dir).withColumn("content", content).drop("o_orderkey")
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(folder, line)``: lines of record files with faults in them."""
+    line = F.expr(_LINE.format(unit="unitCode", quote="'\\\\\"'"))
+    rows = _records(spark, sf_dir).withColumn("line", line)
+    return rows.select(
+        F.expr("concat('f', o_orderkey % 7)").alias("folder"), F.expr(_FAULTY.format(text="line")).alias("line")
+    )
+
+
+def faulty_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(model, text)``: scene files, one in 200 of them with text behind its value."""
+    return table(spark, sf_dir, "supplier").select(
+        F.expr(_MODEL).alias("model"),
+        F.expr(f"concat('{{\"metas\":', {_METAS}, '}}', CASE WHEN s_suppkey % 200 = 7 THEN ' junk' ELSE '' END)").alias("text"),
+    )
+
+
 # One scene a supplier: two collections and an entry without one. Every fourth names a customer's
 # record, every tenth has only an English title, every 25th ends in a null collection.
 _METAS = """concat(
@@ -166,7 +196,7 @@ listing AS (
     )
 )"""
 
-METADATA_SQL = f"""
+RECORDS_SQL = f"""
 emitted AS (
     SELECT o_orderkey, o_custkey,
         CASE WHEN o_orderkey % 4 = 0 THEN 'cu_' || o_custkey ELSE 'od_' || o_orderkey END AS record_id,
@@ -175,12 +205,32 @@ emitted AS (
         'ORD-' || (o_orderkey + 1) || '.jpg' AS "next",
         unnest(CASE WHEN o_orderkey % 11 = 0 THEN [0, 1] ELSE [0] END) AS "copy"
     FROM orders
-), metadata AS (
-    SELECT CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE unit END AS "unitCode",
+), records AS (
+    SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE unit END AS "unitCode",
         {_CONTENT} AS content,
         's3://store/arc/pub/metadata/edan/' || {_SQL_RECORD_FILE.format(n='((o_custkey + "copy") % 25)')} AS filename
     FROM emitted
 )"""
+METADATA_SQL = RECORDS_SQL + """, metadata AS (SELECT "unitCode", content, filename FROM records)"""
+
+# The faulty texts as they are; DuckDB judges each, and only sound ones are looked into.
+FAULTY_TEXTS_SQL = RECORDS_SQL + f""", texts AS (
+    SELECT "unitCode", filename, {_FAULTY.format(text="content")} AS text FROM records
+), metadata AS (
+    SELECT "unitCode", filename, text, CASE WHEN json_valid(text) THEN text END AS content FROM texts
+)"""
+FAULTY_LINES_SQL = RECORDS_SQL + f""", written AS (
+    SELECT *, {_LINE.format(unit='"unitCode"', quote="chr(92) || chr(34)")} AS line FROM records
+), lines AS (
+    SELECT 'f' || (o_orderkey % 7) AS folder, {_FAULTY.format(text="line")} AS line FROM written
+)"""
+
+FAULTY_SCENES_SQL = f"""
+scene_texts AS (
+    SELECT lpad(s_suppkey::VARCHAR, 36, '0') AS model,
+        concat('{{"metas":', {_METAS}, '}}', CASE WHEN s_suppkey % 200 = 7 THEN ' junk' ELSE '' END) AS text
+    FROM supplier
+)"""
 
 SCENES_SQL = f"""
 svx_raw AS (

@@ -7,16 +7,28 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog_queries.inputs import SPEC, listing, metadata, scenes, table
+from catalog_queries.inputs import (
+    SPEC,
+    faulty_lines,
+    faulty_metadata,
+    faulty_scenes,
+    listing,
+    metadata,
+    scenes,
+    table,
+)
 from shelfmark import schemas
-from shelfmark.functions.json_text import not_json
-from shelfmark.functions.names import file_name
+from shelfmark.functions.json_text import has_field, not_json
+from shelfmark.functions.names import file_name, linked_name, naive_utc
 from shelfmark.operators import files, gates, links, models, ranges, records
+from shelfmark.operators.hot_join import spread_join
 from shelfmark.operators.listing import coverage
 from shelfmark.operators.order_audit import order_audit
 from shelfmark.sinks import tables as sink
+from shelfmark.sources.inventory import read_inventory
 from shelfmark.sources.records import ingest_records
-from shelfmark.sources.tables import scratch_path, stage
+from shelfmark.sources.scenes import load_scenes
+from shelfmark.sources.tables import read_if_exists, scratch_path, stage
 
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +45,7 @@ def files_catalog(spark, sf_dir):
 
 def record_fields(spark, sf_dir):
     names = F.array_join(F.array_sort("media_names"), "|").alias("media_names")
-    found = _extracted(spark, sf_dir)
+    found = records.extract_records(faulty_metadata(spark, sf_dir), SPEC)
     return found.select("record_id", "unit_code", "title", "guid", "metadata_url", names, "malformed")
 
 
@@ -104,6 +116,10 @@ def _boundaries(listed: DataFrame) -> list[str]:
     return ranges.key_boundaries(files.build_files(listed, SPEC), SPEC)
 
 
+def _ranges(listed: DataFrame) -> ranges.KeyRanges:
+    return ranges.KeyRanges(_boundaries(listed))
+
+
 def key_boundaries(spark, sf_dir):
     return _as_rows(spark, _boundaries(_stored_listing(spark, sf_dir)), "boundary")
 
@@ -119,42 +135,48 @@ def document_source_quantiles(spark, sf_dir):
 
 def range_segments(spark, sf_dir):
     boundaries = _boundaries(_stored_listing(spark, sf_dir))
-    return ranges.segments_frame(spark, ranges.make_segments(boundaries))
+    return ranges.KeyRanges(boundaries).frame(spark)
 
 
 def assign_segments(spark, sf_dir):
     listed = _stored_listing(spark, sf_dir)
-    return ranges.assign_segments(listed, _boundaries(listed)).select("key", "segment")
+    return ranges.assign_segments(listed, _ranges(listed)).select("key", "segment")
 
 
 def scan_segment(spark, sf_dir):
-    """Every segment scanned on its own; the union is the whole listing, each key once."""
-    listed = _stored_listing(spark, sf_dir)
-    segments = ranges.make_segments(_boundaries(listed))
-    scans = [ranges.scan_segment(listed, s).groupBy("segment").agg(
+    """Every segment scanned on its own; the union is the whole listing, each key once.
+
+    The listing is stored in the order of its keys, so that each scan skips what lies outside its range.
+    """
+    path = scratch_path(spark, "sorted-listing")
+    sink.write_sorted(_stored_listing(spark, sf_dir), path, ("key",))
+    listed = spark.read.parquet(path)
+    cut = _ranges(listed)
+    scans = [ranges.scan_segment(listed, cut, n).groupBy("segment").agg(
         F.count("key").alias("n"), F.min("key").alias("lowest"), F.max("key").alias("highest")
-    ) for s in segments]
+    ) for n in range(len(cut))]
     return reduce(DataFrame.union, scans)
 
 
 def segmented_write(spark, sf_dir):
     listed = _stored_listing(spark, sf_dir)
-    segmented = ranges.assign_segments(listed, _boundaries(listed))
+    segmented = ranges.assign_segments(listed, _ranges(listed))
     return sink.write_segments(segmented, scratch_path(spark, "segments"))
 
 
 def merge_listing(spark, sf_dir):
-    listed, path = _stored_listing(spark, sf_dir), scratch_path(spark, "merged")
-    boundaries = _boundaries(listed)
-    shards = ranges.assign_segments(listed, boundaries)
-    sink.merge_listing(shards, ranges.make_segments(boundaries), SPEC, path)
+    """The listing written as shards, and these merged again."""
+    listed, path, shards = _stored_listing(spark, sf_dir), scratch_path(spark, "merged"), scratch_path(spark, "shards")
+    cut = _ranges(listed)
+    sink.write_segments(ranges.assign_segments(listed, cut), shards)
+    sink.merge_listing(spark.read.parquet(shards), cut, SPEC, path)
     return spark.read.parquet(path)
 
 
 def coverage_audit(spark, sf_dir):
     listed = _stored_listing(spark, sf_dir)
-    boundaries = _boundaries(listed)
-    return coverage(ranges.assign_segments(listed, boundaries), ranges.make_segments(boundaries), SPEC)
+    cut = _ranges(listed)
+    return coverage(ranges.assign_segments(listed, cut), cut, SPEC)
 
 
 def record_files(spark, sf_dir):
@@ -166,41 +188,97 @@ def scene_files(spark, sf_dir):
 
 
 def json_field_extract(spark, sf_dir):
-    props = F.from_json("props", "k STRING")
-    return table(spark, sf_dir, "events").select("event_id", props["k"].alias("k"))
+    """A field of the events' JSON, and whether the text is one value and names it."""
+    props = F.col("props")
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.get_json_object(props, "$.k").alias("k"), has_field(props, "k").alias("named"), (~not_json(props)).alias("sound")
+    )
 
 
 def url_query_param(spark, sf_dir):
-    page = F.regexp_extract("url", "[?&]page=([^&]+)", 1)
-    return table(spark, sf_dir, "pages").select("page_id", file_name(F.col("url")).alias("name"), page.alias("page"))
+    """The file name of each page's URL and the value of its id parameter, once put there."""
+    url = F.concat("url", F.when(F.contains("url", F.lit("?")), "&").otherwise("?"), F.lit("id="), F.col("page_id").cast("string"))
+    return table(spark, sf_dir, "pages").select("page_id", file_name(F.col("url")).alias("name"), linked_name(url).alias("page"))
 
 
 def malformed_documents(spark, sf_dir):
-    """Record texts, every seventh order's cut off at its end: how many of a file are no JSON."""
-    cut = F.expr("CASE WHEN rank % 7 = 0 THEN substr(content, 1, length(content) - 3) ELSE content END")
-    texts = metadata(spark, sf_dir).select(
-        "filename", "content", F.regexp_extract("content", "Nested ([0-9]+)", 1).cast("long").alias("rank")
-    )
-    judged = texts.select("filename", not_json(cut).alias("bad"))
+    """Record texts with faults of many kinds: how many of a file are not exactly one JSON value."""
+    judged = faulty_metadata(spark, sf_dir).select("filename", not_json(F.col("content")).alias("bad"))
     return judged.groupBy("filename").agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good"))
 
 
 def record_ingest(spark, sf_dir):
-    """Records written as JSON lines and ingested again."""
-    lines, out = scratch_path(spark, "lines"), scratch_path(spark, "records")
-    rows = metadata(spark, sf_dir).select(
-        F.md5("content").alias("id"), "unitCode", "content", F.length("content").cast("long").alias("timestamp")
+    """Record lines, some of them faulty, written as text and ingested: good records and bad lines."""
+    lines, out, bad = (scratch_path(spark, name) for name in ("lines", "records", "bad-lines"))
+    faulty_lines(spark, sf_dir).select("folder", F.col("line").alias("value")).write.partitionBy("folder").text(lines)
+    ingest_records(spark, [lines], out, bad)
+    folder = F.regexp_extract("filename", "/folder=([^/]+)/", 1).alias("folder")
+    columns = ["id", "unitCode", "content", "timestamp", "lastTimeUpdated", "title"]
+    good = spark.read.parquet(out).select(*columns, folder, F.lit(None).cast("string").alias("bad_line"))
+    set_aside = spark.read.parquet(bad).select(folder, F.col("_corrupt_record").alias("bad_line"))
+    return good.unionByName(set_aside, allowMissingColumns=True)
+
+
+def bad_scene_files(spark, sf_dir):
+    """Scene files on disk, some with text behind their value: what is read and what is set aside."""
+    root, out, bad = (scratch_path(spark, name) for name in ("scene-files", "scenes", "bad-scenes"))
+    texts = faulty_scenes(spark, sf_dir).withColumnRenamed("text", "value")
+    texts.repartition("model").write.partitionBy("model").text(root)
+    paths = [f"{root}/model={r['model']}" for r in texts.select("model").distinct().collect()]
+    good, skipped = load_scenes(spark, paths, out, SPEC, bad)
+    model = F.regexp_extract("filename", "/model=([^/]+)/", 1).alias("model")
+    both = good.select(model, "metas", F.lit(None).cast("string").alias("problem"))
+    return both.union(skipped.select(model, F.lit(None).cast("string"), F.regexp_replace("problem", "\n$", "")))
+
+
+def inventory(spark, sf_dir):
+    """A stored inventory with quoted etags, unsigned sizes and instants, as a listing in UTC."""
+    path = scratch_path(spark, "inventory")
+    listing(spark, sf_dir).select(
+        "key", F.col("size").cast("decimal(20,0)").alias("size"),
+        F.to_utc_timestamp(F.col("last_modified").cast("timestamp"), "UTC").alias("last_modified"),
+        F.concat(F.lit('"'), "etag", F.lit('"')).alias("etag"),
+    ).write.parquet(path)
+    found = read_inventory(spark, path)
+    return found.withColumn("last_modified", naive_utc(F.col("last_modified")))
+
+
+def earlier_release(spark, sf_dir):
+    """Rows of the tables of an earlier release, null for one that does not exist."""
+    root = _catalog(spark, sf_dir)
+    counts = []
+    for name in ("files", "metadata", "linkages", "absent"):
+        found = read_if_exists(spark, f"{root}/{name}.parquet")
+        n = F.lit(None).cast("bigint") if found is None else F.count(F.lit(1))
+        rows = spark.range(1) if found is None else found
+        counts.append(rows.agg(F.max(F.lit(name)).alias("name"), F.max(n).alias("n") if found is None else n.alias("n")))
+    return reduce(DataFrame.union, counts)
+
+
+HOT_PAIRS = 10_000
+
+
+def hot_media_links(spark, sf_dir):
+    """One file name in the folders of all suppliers that a fifth of all records mention, and other names.
+
+    The hot name is split into cells of ``HOT_PAIRS`` pairs; its pairs are summed up by file.
+    """
+    urgent = "CASE WHEN o_orderpriority = '1-URGENT' THEN 'hot.jpg' ELSE concat('s', o_orderkey % 1000, '.jpg') END"
+    mentions = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record"), F.expr(urgent).alias("name"))
+    files = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.explode(F.array(F.lit("hot.jpg"), F.expr("concat('s', s_suppkey, '.jpg')"))).alias("name")
+    )
+    pairs = spread_join(mentions, files, "name", HOT_PAIRS)
+    return pairs.groupBy("name", "s_suppkey").agg(
+        F.count("*").alias("n"), F.min("record").alias("first"), F.max("record").alias("last"), F.sum("record").alias("total")
     )
-    rows.write.json(lines)
-    ingest_records(spark, [lines], out)
-    return spark.read.parquet(out).select("id", "unitCode", "content", "timestamp", "lastTimeUpdated", "title")
 
 
 def gate_schema(spark, sf_dir):
     good = files_catalog(spark, sf_dir)
     wrong = good.select("url", F.col("size").cast("int").alias("size"), "last_modified")
-    reports = [gates.schema_gate(good, schemas.FILES), gates.schema_gate(wrong, schemas.FILES)]
-    return reduce(DataFrame.union, reports).select("name", "ok")
+    reports = [gates.schema_gate(good, schemas.FILES), gates.schema_gate(wrong, schemas.FILES), gates.present_gate(wrong, "files filled")]
+    return reduce(DataFrame.union, reports)
 
 
 def gate_drift(spark, sf_dir):
@@ -271,9 +349,44 @@ def gate_report(spark, sf_dir):
     return gates.gate_report(sink.read_catalog(spark, _catalog(spark, sf_dir)), SPEC)
 
 
+def gate_faults(spark, sf_dir):
+    """All gates but those of stored order on a catalog with faults of every kind."""
+    tables = dict(sink.read_catalog(spark, _catalog(spark, sf_dir)))
+    nation, supplier = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
+    before = tables["files"].union(tables["files"])
+    tables["files"] = tables["files"].union(tables["files"].where("size % 97 = 0")).union(
+        nation.select(F.expr("concat('https://else.example/', n_nationkey)"), F.lit(-1), F.lit("2026-01-01").cast("timestamp_ntz"))
+    )
+    tables["metadata"] = tables["metadata"].union(
+        nation.select(F.lit("X"), F.expr("CASE WHEN n_nationkey < 3 THEN '' WHEN n_nationkey < 7 THEN NULL ELSE 'n' END"),
+                      F.lit("t"), F.lit(None), F.lit("https://else.example/r"))
+    )
+    tables["linkages"] = tables["linkages"].union(
+        supplier.select(F.expr("concat('gone/', s_suppkey)"), F.expr("concat('nobody_', s_suppkey)"))
+    )
+    return gates.table_gates(tables, SPEC, {"files": before})
+
+
+def coverage_faults(spark, sf_dir):
+    """The coverage audit on a listing with foreign, repeated and misplaced keys."""
+    listed = _stored_listing(spark, sf_dir)
+    cut = _ranges(listed)
+    placed = ranges.assign_segments(listed, cut)
+    moved = placed.withColumn("segment", F.when(F.col("size") % 89 == 0, F.lit(1)).otherwise(F.col("segment")))
+    foreign = listed.where("size % 83 = 0").withColumn("key", F.concat(F.lit("zzz/"), "key"))
+    shards = moved.union(moved.where("size % 79 = 0")).union(ranges.assign_segments(foreign, cut))
+    return coverage(shards, cut, SPEC)
+
+
+def _as_one(tables) -> DataFrame:
+    """The three tables as one, with the name of each."""
+    named = [tables[o.name].withColumn("name", F.lit(o.name)) for o in schemas.OUTPUTS]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
 def catalog_write(spark, sf_dir):
-    """The metadata table as it is read back after the sorted write."""
-    return sink.read_catalog(spark, _catalog(spark, sf_dir))["metadata"]
+    """The three tables as they are read back after the sorted write."""
+    return _as_one(sink.read_catalog(spark, _catalog(spark, sf_dir)))
 
 
 def catalog_sort_audit(spark, sf_dir):
@@ -298,7 +411,7 @@ def stored_order_audit(spark, sf_dir):
 def publish(spark, sf_dir):
     staged, target = _catalog(spark, sf_dir), scratch_path(spark, "release")
     sink.publish(spark, staged, target, SPEC, sink.read_catalog(spark, staged))
-    return sink.read_catalog(spark, target)["linkages"]
+    return _as_one(sink.read_catalog(spark, target))
 
 
 QUERIES = {
@@ -310,6 +423,7 @@ QUERIES = {
         segmented_write, merge_listing, coverage_audit, record_files, scene_files, json_field_extract,
         url_query_param, malformed_documents, record_ingest, gate_schema, gate_drift, gate_unique,
         gate_present, gate_reference, gate_prefix, gate_report, catalog_write, catalog_sort_audit,
-        stored_order_audit, publish,
+        stored_order_audit, publish, bad_scene_files, inventory, earlier_release, hot_media_links, gate_faults,
+        coverage_faults,
     )
 }

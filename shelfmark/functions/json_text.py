@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NO_TEXTS = "array<string>"
+# Stating the default mode keeps the optimizer from narrowing a schema with _corrupt_record.
+WHOLE = {"mode": "PERMISSIVE"}
 
 
 def parts_of_list(text: Column) -> Column:
@@ -25,5 +27,14 @@ def has_field(text: Column, field: str) -> Column:
 
 
 def not_json(text: Column) -> Column:
-    """Whether a non-null text is no JSON value at all."""
-    return text.isNotNull() & F.try_parse_json(text).isNull()
+    """Whether a non-null text is anything else than exactly one JSON value.
+
+    The parser stops after the first value and says nothing about what follows. So the text is put
+    where more than one value would show: as the only element of a list, which a comma or a further
+    value would lengthen or break, and as the only field of an object, which a closing bracket would
+    break. Names may repeat within an object; the last one counts.
+    """
+    elements = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"))
+    fault = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "v string, _corrupt_record string", WHOLE)
+    one = (elements == 1) & fault["_corrupt_record"].isNull() & fault.isNotNull()
+    return text.isNotNull() & (~F.coalesce(one, F.lit(False)) | (F.trim(text) == ""))

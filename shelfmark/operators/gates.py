@@ -47,7 +47,7 @@ def drift_gate(df: DataFrame, previous: DataFrame | None, name: str, max_drop_pe
     now = df.agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("before"))
     if previous is None:
         n = F.col("n")
-        return _rows(now, _gate(f"{name} rows", n > 0, n, " rows, nothing to compare with"))
+        return _rows(now, _gate(f"{name} rows", n > 0, n, " rows, the first release"))
     before = previous.agg(F.lit(0).cast("long").alias("n"), F.count(F.lit(1)).alias("before"))
     both = now.union(before).agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
     enough = F.col("n") >= F.lit(1 - max_drop_percent / 100) * F.col("before")
@@ -58,7 +58,7 @@ def _unique(name: str, empty_allowed: bool) -> Column:
     """Uniqueness verdict from the ``rows``, ``values``, ``nulls`` and ``blanks`` of a key."""
     duplicates, nulls, blanks = F.col("rows") - F.col("values"), F.col("nulls"), F.col("blanks")
     ok = (duplicates == 0) & (nulls == 0) & (F.lit(empty_allowed) | (blanks == 0))
-    return _gate(name, ok, duplicates, " duplicates, ", nulls, " null, ", blanks, " empty")
+    return _gate(name, ok, "repeated ", duplicates, ", null ", nulls, ", empty ", blanks)
 
 
 def unique_gate(df: DataFrame, key: str, name: str, empty_allowed: bool = False) -> DataFrame:
@@ -88,19 +88,19 @@ def reference_gate(child: DataFrame, parent: DataFrame, key: str, name: str) ->
         .join(parent.select(key).distinct(), key, "left_anti")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     )
-    return _rows(orphans, _gate(name, F.col("n") == 0, F.col("n"), f" rows with an unknown {key}"))
+    return _rows(orphans, _gate(name, F.col("n") == 0, F.col("n"), f" rows refer to no {key}"))
 
 
 def prefix_gate(df: DataFrame, column: str, prefix: str, name: str) -> DataFrame:
     """Every non-null value starts with ``prefix``."""
     outside = df.agg(F.count_if(~F.col(column).startswith(prefix)).alias("n"))
-    return _rows(outside, _gate(name, F.col("n") == 0, F.col("n"), f" outside {prefix}"))
+    return _rows(outside, _gate(name, F.col("n") == 0, F.col("n"), f" not under {prefix}"))
 
 
 def sorted_gate(stored: DataFrame, output: Output) -> DataFrame:
     """Stored row order equals the sort order; needs a frame straight from ``read.parquet``."""
     fallen = F.col("out_of_order")
-    gate = _gate(f"{output.name} sorted", fallen == 0, fallen, f" rows out of order by {', '.join(output.sort)}")
+    gate = _gate(f"{output.name} sorted", fallen == 0, fallen, f" falls in the order of {', '.join(output.sort)}")
     return _rows(order_audit(stored, output.sort), gate)
 
 
@@ -151,17 +151,17 @@ def content_gates(tables: Mapping[str, DataFrame], spec: CatalogSpec) -> list[Da
         _rows(
             urls,
             _unique("files url unique", empty_allowed=True),
-            none_of("file_bad", "files url prefix", f" outside {spec.base_url}"),
-            none_of("negative", "files size", " negative sizes"),
-            _gate("linkages present", F.col("child_rows") > 0, F.col("child_rows"), " rows"),
-            none_of("orphans", "linkages url known", " rows with an unknown url"),
-            none_of("link_bad", "linkages url prefix", f" outside {spec.base_url}"),
+            none_of("file_bad", "files url prefix", f" not under {spec.base_url}"),
+            none_of("negative", "files size", " sizes below zero"),
+            _gate("linkages filled", F.col("child_rows") > 0, F.col("child_rows"), " rows"),
+            none_of("orphans", "linkages url found", " rows refer to no url"),
+            none_of("link_bad", "linkages url prefix", f" not under {spec.base_url}"),
         ),
         _rows(
             ids,
             _unique("metadata record_id unique", empty_allowed=False),
-            none_of("record_bad", "metadata url prefix", f" outside {spec.records_url}"),
-            none_of("orphans", "linkages record_id known", " rows with an unknown record_id"),
+            none_of("record_bad", "metadata url prefix", f" not under {spec.records_url}"),
+            none_of("orphans", "linkages record_id found", " rows refer to no record_id"),
         ),
     ]
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.names import file_name, model_id, public_url
 from shelfmark.operators.files import is_file
 from shelfmark.operators.hot_join import spread_join
+from shelfmark.sources.tables import scratch_path, stage
 from shelfmark.spec import CatalogSpec
 
 
@@ -28,16 +29,18 @@ def media_links(
     much larger result needs no shuffle of its own. A listing that passed its coverage audit has
     unique keys, which ``unique_keys`` states to save the shuffle on that side.
 
-    Files of other extensions cannot be mentioned and are dropped first. That filter looks at the
-    end of the key, not at file_name: Spark would copy a filter on the join column to the other side
-    of the join only, and then could not reuse that side's shuffle for counting its keys.
+    Files of other extensions cannot be mentioned and are dropped first. Both narrow sides are
+    stored, since the join reads each twice.
     """
     key = F.col("key")
     wanted = key.startswith(spec.media_prefix) & F.rlike(F.lower(key), F.lit(spec.link_name_pattern))
     files = listing.where(wanted).select(file_name(key).alias("file_name"), public_url(key, spec).alias("url"))
     if not unique_keys:
         files = files.distinct()
-    return spread_join(media_references(records), files, "file_name").select("url", "record_id")
+    spark = records.sparkSession
+    mentions = stage(media_references(records), scratch_path(spark, "mentions"))
+    files = stage(files, scratch_path(spark, "media-files"))
+    return spread_join(mentions, files, "file_name").select("url", "record_id")
 
 
 def model_links(
@@ -50,7 +53,8 @@ def model_links(
     if not unique_keys:
         files = files.distinct()
     owners = models.select("model_id", "record_id").distinct()
-    return spread_join(files, owners, "model_id").select("url", "record_id")
+    # an owner a model: a folder of very many files is split by adaptive execution, which copies one row
+    return files.join(owners, "model_id").select("url", "record_id")
 
 
 def linkages(media: DataFrame, models: DataFrame) -> DataFrame:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Python workers get these functions by value, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _falls(left: list[pa.Array], right: list[pa.Array]) -> np.ndarray:
     """For each row pair, whether left sorts after right (nulls last, text by bytes)."""
@@ -77,8 +82,9 @@ def order_audit(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     ``stored`` is a frame straight from ``read.parquet``. Part files follow each other by their part
     number, rows by their position in the file. The rows are scanned once and not shuffled: a task
-    reduces what it reads to one summary row per stretch of a file, and only these summaries (about
-    one a scan split) are put in order to compare the ends of neighbours.
+    reduces what it reads to one summary row per stretch of a file. Summaries are joined to one row a
+    file, files in ranges of their names to one row a range, and only the ranges, as many as there
+    are shuffle partitions, meet in one task.
     """
     fields = {f.name: f for f in stored.schema.fields}
     types = [fields[k].dataType.simpleString() for k in keys]
@@ -90,14 +96,29 @@ def order_audit(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
         lambda batches: _runs(batches, keys),
         "file string, `from` long, `to` long, falls long, " + ", ".join(ends),
     )
-    name = F.substring_index("file", "/", -1)
-    part = F.regexp_extract(name, r"^part-(\d+)", 1)
-    place = Window.orderBy(F.expr("try_cast(part AS long)").asc_nulls_first(), "name", "from")
-    firsts = [f"first_{i}" for i in range(len(keys))]
-    lasts = [f"last_{i}" for i in range(len(keys))]
-    paired = runs.select("*", name.alias("name"), part.alias("part")).select(
-        "from", "to", "falls", _rank(firsts).alias("first"), F.lag(_rank(lasts)).over(place).alias("before")
+    first, last = (_rank([f"{end}_{i}" for i in range(len(keys))]) for end in ("first", "last"))
+    run = F.struct("from", "to", "falls", first.alias("first"), last.alias("last"))
+    files = runs.groupBy("file").agg(F.sort_array(F.collect_list(run)).alias("runs"))
+    files = files.withColumn("name", F.substring_index("file", "/", -1))
+    between = "size(filter(sequence(1, size(runs)), n -> n < size(runs) AND runs[n - 1].last > runs[n].first))"
+    part = F.expr("coalesce(try_cast(regexp_extract(name, '^part-([0-9]+)', 1) AS long), -1)")
+    files = files.select(
+        F.struct(part.alias("part"), "name").alias("place"),
+        F.expr("aggregate(runs, 0L, (n, r) -> n + r.to - r.from + 1)").alias("rows"),
+        F.expr(f"aggregate(runs, 0L, (n, r) -> n + r.falls) + {between}").alias("falls"),
+        F.expr("runs[0].first").alias("first"),
+        F.expr("element_at(runs, -1).last").alias("last"),
     )
-    rows = F.coalesce(F.sum(F.col("to") - F.col("from") + 1), F.lit(0))
-    falls = F.coalesce(F.sum("falls"), F.lit(0)) + F.count_if(F.col("before") > F.col("first"))
-    return paired.agg(rows.alias("rows"), falls.alias("out_of_order"))
+    ranged = files.repartitionByRange("place").withColumn("range", F.spark_partition_id())
+    whole = _joined(_joined(ranged, ["range"]), [])
+    return whole.select(F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("falls", F.lit(0)).alias("out_of_order"))
+
+
+def _joined(parts: DataFrame, group: list[str]) -> DataFrame:
+    """Parts ``(place, rows, falls, first, last)`` of each group as one, counting falls between neighbours."""
+    before = F.lag("last").over(Window.partitionBy(*group).orderBy("place"))
+    paired = parts.withColumn("falls", F.col("falls") + F.coalesce((before > F.col("first")).cast("long"), F.lit(0)))
+    return paired.groupBy(*group).agg(
+        F.min("place").alias("place"), F.sum("rows").alias("rows"), F.sum("falls").alias("falls"),
+        F.min_by("first", "place").alias("first"), F.max_by("last", "place").alias("last"),
+    )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
 
@@ -17,53 +16,59 @@ from shelfmark.functions.names import key_of_url
 from shelfmark.functions.search import count_below
 from shelfmark.spec import CatalogSpec
 
-# Quantile search cuts the keys into SLICES a segment and looks closer only at slices that hold a
-# quantile; slices above CROWDED rows are cut again first.
+# Quantile search cuts the keys into SLICES a part and looks closer only at slices that hold a
+# quantile; slices with more than CROWDED different keys are cut again first.
 SLICES = 16
 SAMPLES_PER_SLICE = 16
 CROWDED = 5_000_000
 
 
-@dataclass(frozen=True)
-class Segment:
-    """The keys in ``(start_after, end_inclusive]``; None is an open end."""
+class KeyRanges:
+    """Contiguous ranges of keys, given by the strictly rising keys at which they end.
 
-    index: int
-    start_after: str | None
-    end_inclusive: str | None
+    Range n holds the keys above ``ends[n - 1]`` up to and including ``ends[n]``; the first has no
+    lower and the last no upper bound.
+    """
 
+    def __init__(self, ends: Iterable[str] = ()):
+        self.ends = tuple(ends)
+        falls = [n for n in range(1, len(self.ends)) if self.ends[n - 1] >= self.ends[n]]
+        if falls:
+            raise RangeError(f"{len(falls)} ends of key ranges do not rise, the first at place {falls[0]}")
 
-def make_segments(boundaries: Sequence[str]) -> list[Segment]:
-    """Contiguous segments around strictly increasing boundaries."""
-    if any(a >= b for a, b in zip(boundaries, boundaries[1:], strict=False)):
-        raise RangeError("boundaries must be strictly increasing")
-    starts, ends = [None, *boundaries], [*boundaries, None]
-    return [Segment(i, a, b) for i, (a, b) in enumerate(zip(starts, ends, strict=True))]
+    def __len__(self) -> int:
+        return len(self.ends) + 1
 
+    def bounds(self, n: int) -> tuple[str | None, str | None]:
+        """The end of the range before and that of the range itself; None is an open side."""
+        return (self.ends[n - 1] if n else None), (self.ends[n] if n < len(self.ends) else None)
 
-def segments_frame(spark: SparkSession, segments: Sequence[Segment]) -> DataFrame:
-    rows = [(s.index, s.start_after, s.end_inclusive) for s in segments]
-    return spark.createDataFrame(rows, schemas.SEGMENTS)
+    def holds(self, key: Column, n: int) -> Column:
+        """Whether a key lies in range n; both bounds reach a Parquet scan as filters."""
+        low, high = self.bounds(n)
+        inside = key.isNotNull()
+        if low is not None:
+            inside = inside & (key > low)
+        if high is not None:
+            inside = inside & (key <= high)
+        return inside
 
+    def place(self, key: Column) -> Column:
+        """The one range a key lies in."""
+        return count_below(key, self.ends)
 
-def within(key: Column, segment: Segment) -> Column:
-    """Whether a key belongs to a segment; both bounds reach a Parquet scan as filters."""
-    inside = key.isNotNull()
-    if segment.start_after is not None:
-        inside = inside & (key > segment.start_after)
-    if segment.end_inclusive is not None:
-        inside = inside & (key <= segment.end_inclusive)
-    return inside
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(n, *self.bounds(n)) for n in range(len(self))], schemas.SEGMENTS)
 
 
-def scan_segment(listing: DataFrame, segment: Segment) -> DataFrame:
-    """The rows of one segment."""
-    return listing.where(within(F.col("key"), segment)).withColumn("segment", F.lit(segment.index))
+def scan_segment(listing: DataFrame, ranges: KeyRanges, n: int) -> DataFrame:
+    """The rows of one range."""
+    return listing.where(ranges.holds(F.col("key"), n)).withColumn("segment", F.lit(n))
 
 
-def assign_segments(listing: DataFrame, boundaries: Sequence[str]) -> DataFrame:
-    """Every row with the index of the one segment its key falls into. No join, no shuffle."""
-    return listing.withColumn("segment", count_below(F.col("key"), boundaries))
+def assign_segments(listing: DataFrame, ranges: KeyRanges) -> DataFrame:
+    """Every row with the one range its key falls into. No join, no shuffle."""
+    return listing.withColumn("segment", ranges.place(F.col("key")))
 
 
 def exact_quantiles(df: DataFrame, column: str, parts: int, crowded: int = CROWDED) -> list[str]:
@@ -75,7 +80,7 @@ def exact_quantiles(df: DataFrame, column: str, parts: int, crowded: int = CROWD
 
     1. cut points are taken from a sample; they only decide where to look closer
     2. one pass counts all keys between the cut points, which tells the slice of each rank; slices
-       that are still large are cut again
+       with very many different keys are cut again, at a sample of these
     3. one more pass reads just those slices, with equal keys counted before they are shuffled, and
        adds up the counts in key order to find the ranks
 
@@ -87,20 +92,20 @@ def exact_quantiles(df: DataFrame, column: str, parts: int, crowded: int = CROWD
     cuts = _sample_cuts(keys, df.count(), parts * SLICES)
     while True:
         sliced = keys.withColumn("slice", count_below(F.col("key"), cuts))
-        counts = sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect()
-        sizes = {r["slice"]: r["n"] for r in counts}
-        rows = sum(sizes.values())
+        counts = sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("key").alias("d"))
+        sizes = {r["slice"]: (r["n"], r["d"]) for r in counts.collect()}
+        rows = sum(n for n, _ in sizes.values())
         if parts < 2 or rows == 0:
             return []
         # integer arithmetic: rank = ceil(rows * i / parts)
         ranks = [(rows * i + parts - 1) // parts for i in range(1, parts)]
-        offsets = _ranks_by_slice(ranks, sizes)
-        large = [s for s in offsets if sizes[s] > crowded]
+        offsets = _ranks_by_slice(ranks, {s: n for s, (n, _) in sizes.items()})
+        large = [s for s in offsets if sizes[s][1] > crowded]
         if not large:
             break
-        inside = keys.where(_in_slices(cuts, large))
-        finer = _sample_cuts(inside, sum(sizes[s] for s in large), parts * SLICES)
-        # nothing new to cut at: the slices are few keys with many copies, which step 3 counts
+        # copies would crowd out the other keys of a sample
+        inside = keys.where(_in_slices(cuts, large)).distinct()
+        finer = _sample_cuts(inside, sum(sizes[s][1] for s in large), parts * SLICES)
         if not set(finer) - set(cuts):
             break
         cuts = sorted({*cuts, *finer})
@@ -123,16 +128,14 @@ def exact_quantiles(df: DataFrame, column: str, parts: int, crowded: int = CROWD
 
 def _in_slices(cuts: Sequence[str], slices: Iterable[int]) -> Column:
     """Whether a key lies in one of the slices, as ranges a Parquet scan can prune by."""
-    edges = [None, *cuts, None]
-    ranges = [within(F.col("key"), Segment(s, edges[s], edges[s + 1])) for s in slices]
-    return reduce(Column.__or__, ranges)
+    cut = KeyRanges(cuts)
+    return reduce(Column.__or__, [cut.holds(F.col("key"), s) for s in slices])
 
 
 def _sample_cuts(keys: DataFrame, rows: int, slices: int) -> list[str]:
     """About ``slices`` evenly spaced values out of a sample of SAMPLES_PER_SLICE times as many."""
-    share = slices * SAMPLES_PER_SLICE / max(rows, 1)
-    sampled = keys if share >= 1 else keys.sample(fraction=share, seed=0)
-    values = sorted(r["key"] for r in sampled.collect())
+    share = min(1.0, slices * SAMPLES_PER_SLICE / max(rows, 1))
+    values = sorted(r["key"] for r in keys.sample(fraction=share, seed=0).collect())
     step = max(1, len(values) // slices)
     return sorted(set(values[step - 1 :: step]))
 

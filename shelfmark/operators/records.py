@@ -38,15 +38,12 @@ def extract_records(metadata: DataFrame, spec: CatalogSpec) -> DataFrame:
     """The narrow record table: ids, titles, linked file names, from one parse of ``content``.
 
     ``metadata`` needs unitCode, content and filename. Result: record_id, unit_code, title, guid,
-    metadata_url, media_names (NULL without a record_id) and malformed (content is not JSON; such
-    rows have no id). Write the result before using it twice, since each use parses again.
+    metadata_url, media_names (NULL without a record_id) and malformed (content is not one JSON value). Write the result before using it twice, since each use parses again.
     """
-    parsed = metadata.select(
-        F.from_json("content", schemas.RECORD_CONTENT, schemas.WHOLE_SHAPE).alias("c"),
-        "unitCode",
-        "content",
-        "filename",
-    )
+    judged = metadata.select("unitCode", "content", "filename", not_json(F.col("content")).alias("malformed"))
+    sound = F.when(~F.col("malformed"), F.col("content"))
+    record = F.from_json(sound, schemas.RECORD_CONTENT, schemas.WHOLE_SHAPE)
+    parsed = judged.select(record.alias("c"), "unitCode", "content", "filename", "malformed")
     c, content = F.col("c"), F.col("content")
     described = c["descriptiveNonRepeating"]
     record_id = F.coalesce(c["record_id"], described["record_ID"])
@@ -57,10 +54,7 @@ def extract_records(metadata: DataFrame, spec: CatalogSpec) -> DataFrame:
         F.coalesce(c["guid"], described["guid"]).alias("guid"),
         F.concat(F.lit(spec.records_url), after(F.col("filename"), spec.records_source)).alias("metadata_url"),
         F.when(record_id.isNotNull(), _media_names(c, content, spec)).alias("media_names"),
-        (
-            (c["_corrupt_record"].isNotNull() & not_json(content))
-            | F.coalesce(F.trim(content) == "", F.lit(False))
-        ).alias("malformed"),
+        "malformed",
     )
 
 
@@ -77,12 +71,13 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
 def linked_records(records: DataFrame, links: DataFrame) -> DataFrame:
     """One row per record that has at least one link.
 
-    Duplicates go first: that step shrinks hot ids before any shuffle and leaves the rows placed by
-    record_id, as the semi join needs them.
+    Most records have none, so the semi join goes first; it leaves the rows placed by record_id, as
+    the choice among rows of one record needs them.
     """
     columns = [*schemas.METADATA.columns]
-    one_each = keep_one(records.where("record_id IS NOT NULL").select(columns), ["record_id"], KEEP_ORDER)
-    return one_each.join(links.select("record_id").distinct(), "record_id", "left_semi").select(columns)
+    linked = records.where("record_id IS NOT NULL").select(columns)
+    linked = linked.join(links.select("record_id").distinct(), "record_id", "left_semi")
+    return keep_one(linked, ["record_id"], KEEP_ORDER).select(columns)
 
 
 def _unit_of(record_id: str) -> Column:

@@ -17,13 +17,13 @@ from shelfmark.operators.files import build_files, select_keys
 from shelfmark.operators.gates import enforce, gate_report
 from shelfmark.operators.links import linkages, media_links, model_links
 from shelfmark.operators.models import scene_models
-from shelfmark.operators.ranges import assign_segments, key_boundaries, make_segments
+from shelfmark.operators.ranges import KeyRanges, assign_segments, key_boundaries
 from shelfmark.operators.records import catalog_metadata, extract_records
 from shelfmark.schemas import FILES, OUTPUTS
 from shelfmark.sinks import tables as sink
 from shelfmark.sources.records import ingest_records
 from shelfmark.sources.scenes import load_scenes
-from shelfmark.sources.tables import read_if_exists, register, stage
+from shelfmark.sources.tables import drop_path, read_if_exists, register, stage
 from shelfmark.spec import CatalogSpec
 
 logger = logging.getLogger(__name__)
@@ -70,12 +70,13 @@ class Rebuild:
     def list_step(self, inventory: DataFrame) -> int:
         """Cut the inventory into segments, store them, audit them and merge them."""
         before = self.previous_tables()[FILES.name]
-        boundaries = key_boundaries(before, self.spec) if before is not None else []
-        segments = make_segments(boundaries)
-        sink.write_segments(assign_segments(inventory, boundaries), self.path("segments"))
+        ranges = KeyRanges(key_boundaries(before, self.spec) if before is not None else [])
+        sink.write_segments(assign_segments(inventory, ranges), self.path("segments"))
         shards = self.spark.read.parquet(self.path("segments"))
         previous_rows = before.count() if before is not None else None
-        return sink.merge_listing(shards, segments, self.spec, self.path("listing"), previous_rows)
+        keys = sink.merge_listing(shards, ranges, self.spec, self.path("listing"), previous_rows)
+        drop_path(self.spark, self.path("segments"))
+        return keys
 
     def records_step(self) -> int:
         """Copy the listed record files to Parquet."""
@@ -95,7 +96,7 @@ class Rebuild:
             raise RecordError(f"{malformed} records hold content that is not JSON")
 
         scene_paths = self.paths_like(spec.scene_key_pattern)
-        scenes, _ = load_scenes(self.spark, scene_paths, self.path("scenes"), spec)
+        scenes, _ = load_scenes(self.spark, scene_paths, self.path("scenes"), spec, self.path("bad-scenes"))
         models = scene_models(scenes, spec)
 
         # keys are unique: the listing passed its audit

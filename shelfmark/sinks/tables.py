@@ -12,7 +12,9 @@ from shelfmark.errors import PublishError
 from shelfmark.operators.gates import enforce, gate_report
 from shelfmark.operators.listing import check_coverage, check_not_shrunken
 from shelfmark.operators.order_audit import order_audit
+from shelfmark.operators.ranges import KeyRanges
 from shelfmark.schemas import OUTPUTS, PUBLISH_ORDER, Output
+from shelfmark.sources.tables import path_exists
 from shelfmark.spec import CatalogSpec
 
 logger = logging.getLogger(__name__)
@@ -49,10 +51,10 @@ def write_segments(listing: DataFrame, path: str) -> DataFrame:
 
 
 def merge_listing(
-    shards: DataFrame, segments, spec: CatalogSpec, path: str, previous_rows: int | None = None
+    shards: DataFrame, ranges: KeyRanges, spec: CatalogSpec, path: str, previous_rows: int | None = None
 ) -> int:
     """Audit a segmented listing and write it as one table sorted by key; returns its rows."""
-    keys = check_coverage(shards, segments, spec)["keys"]
+    keys = check_coverage(shards, ranges, spec)["keys"]
     if previous_rows is not None:
         check_not_shrunken(keys, previous_rows, spec)
     write_sorted(shards.select("key", "size", "last_modified", "etag"), path, ("key",))
@@ -89,21 +91,29 @@ def publish(
 ) -> dict[str, int]:
     """Validate the staged catalog again, then store its tables under ``target`` in publish order.
 
-    ``target`` is a new folder for each release; an existing table is never overwritten, so readers
-    of an earlier release are not disturbed. Each stored table is compared with the staged one before
-    the next is written. Strong compression is paid for here only, once, after all gates passed.
+    ``target`` is a new folder for each release, so readers of an earlier release are not disturbed.
+    Each stored table is compared with the staged one before the next is written: rows, order, schema
+    and a hash sum of all values. A table that is there already, because an earlier run broke off
+    later, is compared likewise and kept; one that differs is an error and never overwritten. Only a
+    table whose write was not completed is written anew. Strong compression is paid for here only,
+    once, after all gates passed.
     """
     tables = read_catalog(spark, staged)
     enforce(gate_report(tables, spec, previous))
     counts = {}
     for output in PUBLISH_ORDER:
-        path = table_path(target, output)
-        write_sorted(tables[output.name], path, output.sort, level, mode="error")
+        path, table = table_path(target, output), tables[output.name]
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            write_sorted(table, path, output.sort, level)
         stored = spark.read.parquet(path)
         rows, fallen = order_audit(stored, output.sort).first()
-        expected = tables[output.name].count()
-        if rows != expected or fallen or stored.schema != tables[output.name].schema:
-            raise PublishError(f"{path}: {rows} rows ({fallen} out of order), expected {expected}")
+        if fallen or stored.schema != table.schema or contents(stored) != contents(table):
+            raise PublishError(f"{path} does not hold the staged table: {rows} rows, {fallen} falls in order")
         counts[output.file] = rows
         logger.info("published %s: %d rows", path, rows)
     return counts
+
+
+def contents(df: DataFrame) -> tuple:
+    """Number of rows and a sum of their hashes."""
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())

@@ -11,32 +11,36 @@ from pyspark.sql import types as T
 
 from shelfmark import schemas
 from shelfmark.errors import RecordError
+from shelfmark.functions.json_text import not_json
 from shelfmark.functions.names import source_path
+from shelfmark.sources.tables import drop_table, literal_paths, scratch_path, stage
 
 logger = logging.getLogger(__name__)
 
 BAD_LINE = "_corrupt_record"
 
 
-def read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All lines of the files with the declared columns and their ``filename``.
-
-    A line that is not JSON or has a wrong type fails the read.
-    """
-    reader = spark.read.schema(schemas.RECORD_LINES).option("mode", "FAILFAST")
-    return reader.json(list(paths)).withColumn("filename", source_path())
-
-
 def read_records_tolerantly(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Like ``read_records``, but a bad line becomes a row that holds it in ``_corrupt_record``.
+    """All lines of the files with the declared columns and their ``filename``.
 
-    Lines are read as text, because the JSON reader cannot be asked for its bad lines alone.
+    A line that is not exactly one JSON object of the declared types becomes a row that holds it in
+    ``_corrupt_record``. Lines are read as text, because the JSON reader drops what follows a value.
     """
     schema = T.StructType([*schemas.RECORD_LINES.fields, T.StructField(BAD_LINE, T.StringType())])
-    lines = spark.read.text(list(paths)).where(F.trim("value") != "")
+    lines = spark.read.text(literal_paths(paths)).where(F.trim("value") != "")
     record = F.from_json("value", schema, schemas.WHOLE_SHAPE)
-    parsed = lines.select(record.alias("record"), source_path().alias("filename"))
-    return parsed.select("record.*", "filename")
+    parsed = lines.select(record.alias("record"), "value", source_path().alias("filename"))
+    fields = [F.col(f"record.`{f.name}`") for f in schemas.RECORD_LINES.fields]
+    fault = F.col(f"record.{BAD_LINE}").isNotNull() | not_json(F.col("value"))
+    return parsed.select(*fields, F.when(fault, F.col("value")).alias(BAD_LINE), "filename")
+
+
+def read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Like ``read_records_tolerantly``, but a bad line fails the read."""
+    found = read_records_tolerantly(spark, paths)
+    message = F.concat(F.lit("not one JSON record in "), "filename", F.lit(": "), F.substring(BAD_LINE, 1, 200))
+    good = F.when(F.col(BAD_LINE).isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return found.where(good).drop(BAD_LINE)
 
 
 def split_bad_lines(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -51,16 +55,18 @@ def ingest_records(
     """Copy record files to Parquet, replacing what was there; returns the number of records.
 
     With ``bad_lines`` set, unreadable lines go to that table instead of failing the job. Files are
-    read by all tasks, each writing its own part.
+    read and parsed once, by all tasks, each writing its own part.
     """
     if not paths:
         raise RecordError("there are no record files")
     if bad_lines is None:
         read_records(spark, paths).write.mode("overwrite").parquet(out)
     else:
-        good, bad = split_bad_lines(read_records_tolerantly(spark, paths))
+        parsed = stage(read_records_tolerantly(spark, paths), scratch_path(spark, "parsed-lines"))
+        good, bad = split_bad_lines(parsed)
         good.write.mode("overwrite").parquet(out)
         bad.write.mode("overwrite").parquet(bad_lines)
+        drop_table(parsed)
     written = spark.read.parquet(out)
     # a row a file is shuffled
     per_file = written.groupBy("filename").agg(F.count(F.lit(1)).alias("n"))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.errors import SceneError
+from shelfmark.functions.json_text import not_json
 from shelfmark.functions.names import source_path
-from shelfmark.sources.tables import stage
+from shelfmark.sources.tables import literal_paths, stage
 from shelfmark.spec import CatalogSpec
 
 logger = logging.getLogger(__name__)
@@ -20,11 +21,16 @@ logger = logging.getLogger(__name__)
 def read_scenes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``(filename, metas, problem)``: metas as JSON text, problem the text of an unparseable file.
 
-    Each file is parsed on its own, so a bad one spoils no other. An empty file gives no row.
+    Each file is parsed on its own, so a bad one spoils no other; a file must hold one JSON value. An
+    empty file gives no row.
     """
-    found = spark.read.schema(schemas.SCENE_FILE).json(list(paths), multiLine=True)
-    return found.select(
-        source_path().alias("filename"), "metas", F.col("_corrupt_record").alias("problem")
+    texts = spark.read.text(literal_paths(paths), wholetext=True).where(F.trim("value") != "")
+    parsed = texts.select(
+        source_path().alias("filename"), "value", F.from_json("value", schemas.SCENE_FILE, schemas.WHOLE_SHAPE).alias("scene")
+    )
+    bad = F.col("scene._corrupt_record").isNotNull() | not_json(F.col("value"))
+    return parsed.select(
+        "filename", F.when(~bad, F.col("scene.metas")).alias("metas"), F.when(bad, F.col("value")).alias("problem")
     )
 
 
@@ -39,12 +45,15 @@ def check_scenes(scenes: DataFrame, files: int, spec: CatalogSpec) -> DataFrame:
 
 
 def load_scenes(
-    spark: SparkSession, paths: Sequence[str], out: str, spec: CatalogSpec
-) -> tuple[DataFrame, list[str]]:
-    """Read scene files once into a stored table: ``(good scenes, bad file names)``."""
+    spark: SparkSession, paths: Sequence[str], out: str, spec: CatalogSpec, bad_files: str
+) -> tuple[DataFrame, DataFrame]:
+    """Read scene files once into a stored table: ``(good scenes, bad files)``.
+
+    The bad files, which are skipped, are stored at ``bad_files`` as ``(filename, problem)``.
+    """
     scenes = stage(read_scenes(spark, paths), out)
-    # no more names than check_scenes lets pass
-    bad = [r["filename"] for r in check_scenes(scenes, len(paths), spec).orderBy("filename").collect()]
-    for name in bad:
-        logger.warning("skipped %s: not a JSON document", name)
+    bad = stage(scenes.where("problem IS NOT NULL").select("filename", "problem").distinct(), bad_files)
+    skipped = check_scenes(scenes, len(paths), spec).count()
+    if skipped:
+        logger.warning("skipped %d scene files that are not JSON documents, see %s", skipped, bad_files)
     return scenes.where("problem IS NULL AND metas IS NOT NULL").select("filename", "metas"), bad

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.errors import ArchiveError
 
+# Paths of scratch tables that this process made and has not deleted.
+_scratch: list[str] = []
+
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored table, or None where there is none yet."""
+    """A stored table, or None where there is none yet; a folder without data is an error."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
@@ -28,18 +32,48 @@ def register(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
+def literal_paths(paths: Sequence[str]) -> list[str]:
+    """Paths as the file reader takes them literally: it reads some characters as patterns."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data on whatever store holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_table(staged: DataFrame) -> None:
+    """Delete the folder of a staged table that no plan reads any more."""
+    for folder in {file.rpartition("/")[0] for file in staged.inputFiles()}:
+        drop_path(staged.sparkSession, folder)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this process."""
+    while _scratch:
+        drop_path(spark, _scratch.pop())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table, in the folder ``spark.checkpoint.dir`` names.
 
     All executors must see that folder. Without the setting only a local session gets a folder of
     its own machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ArchiveError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="shelfmark-")
-    return f"{root.rstrip('/')}/shelfmark/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/shelfmark/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

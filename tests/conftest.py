@@ -5,7 +5,7 @@ from pyspark.sql import SparkSession
 
 from shelfmark.spec import CatalogSpec
 
-MODEL = "0b6a4d1e-0d9a-4b6e-9c4e-1f2a3b4c5d6e"
+MODEL = "model-of-a-brass-sextant-from-1790-x7"[:36]
 
 
 @pytest.fixture(scope="session")

@@ -9,9 +9,9 @@ from shelfmark.sinks.tables import read_catalog, write_catalog
 
 def frames(spark, spec, files=None, metadata=None, links=None):
     base = spec.base_url
-    files = files if files is not None else [(f"{base}media/x/{i}.jpg", 10) for i in range(10)]
-    metadata = metadata if metadata is not None else [("X", f"x_{i}", "Title", None, f"{spec.records_url}x/00.txt") for i in range(10)]
-    links = links if links is not None else [(f"{base}media/x/{i}.jpg", f"x_{i}") for i in range(10)]
+    files = files if files is not None else [(f"{base}media/w/p{i}.tif", 7 * i) for i in range(6)]
+    metadata = metadata if metadata is not None else [("W", f"w_{i}", f"Map {i}", None, f"{spec.records_url}w/a{i}.txt") for i in range(6)]
+    links = links if links is not None else [(f"{base}media/w/p{i}.tif", f"w_{i * 5 % 6}") for i in range(6)]
     files = spark.createDataFrame(files, "url string, size long")
     return {
         "files": files.withColumn("last_modified", F.lit("2026-01-01").cast("timestamp_ntz")),
@@ -41,17 +41,17 @@ def test_a_clean_stored_catalog_passes_every_gate(spark, spec, tmp_path):
 @pytest.mark.parametrize(
     ("name", "row", "gate", "detail"),
     [
-        ("linkages", ("{base}media/x/0.jpg", "nobody"), "linkages record_id known", "1 rows"),
-        ("linkages", ("{base}media/x/0.jpg", None), "linkages record_id known", "1 rows"),
-        ("linkages", ("{base}media/x/missing.jpg", "x_0"), "linkages url known", "1 rows"),
-        ("metadata", ("X", "", "Blank", None, None), "metadata record_id unique", "0 duplicates, 0 null, 1 empty"),
-        ("metadata", ("X", None, "Blank", None, None), "metadata record_id unique", "1 duplicates, 1 null, 0 empty"),
-        ("metadata", ("X", "x_1", "Twice", None, None), "metadata record_id unique", "1 duplicates, 0 null, 0 empty"),
-        ("metadata", ("X", "x_99", "T", None, "https://else.example/00.txt"), "metadata url prefix", "1 outside"),
-        ("files", ("https://else.example/a.jpg", 1), "files url prefix", "1 outside"),
-        ("files", ("{base}media/x/3.jpg", 1), "files url unique", "1 duplicates, 0 null, 0 empty"),
-        ("files", ("{base}media/x/neg.jpg", -1), "files size", "1 negative sizes"),
-        ("files", (None, 1), "files url unique", "1 duplicates, 1 null, 0 empty"),
+        ("linkages", ("{base}media/w/p0.tif", "w_77"), "linkages record_id found", "1 rows"),
+        ("linkages", ("{base}media/w/p0.tif", None), "linkages record_id found", "1 rows"),
+        ("linkages", ("{base}media/w/lost.tif", "w_0"), "linkages url found", "1 rows"),
+        ("metadata", ("W", "", "No id", None, None), "metadata record_id unique", "repeated 0, null 0, empty 1"),
+        ("metadata", ("W", None, "No id", None, None), "metadata record_id unique", "repeated 1, null 1, empty 0"),
+        ("metadata", ("W", "w_4", "Again", None, None), "metadata record_id unique", "repeated 1, null 0, empty 0"),
+        ("metadata", ("W", "w_50", "T", None, "https://else.example/a1.txt"), "metadata url prefix", "1 not under"),
+        ("files", ("https://else.example/p.tif", 1), "files url prefix", "1 not under"),
+        ("files", ("{base}media/w/p3.tif", 1), "files url unique", "repeated 1, null 0, empty 0"),
+        ("files", ("{base}media/w/p9.tif", -4), "files size", "1 sizes below zero"),
+        ("files", (None, 1), "files url unique", "repeated 1, null 1, empty 0"),
     ],
 )
 def test_each_fault_fails_its_gate_only(spark, spec, name, row, gate, detail):
@@ -62,25 +62,25 @@ def test_each_fault_fails_its_gate_only(spark, spec, name, row, gate, detail):
 
 
 def test_a_foreign_link_fails_two_gates(spark, spec):
-    found = failed(gates.table_gates(extra(spark, spec, "linkages", ("https://else.example/a", "x_1")), spec))
-    assert set(found) == {"linkages url prefix", "linkages url known"}
+    found = failed(gates.table_gates(extra(spark, spec, "linkages", ("https://else.example/a", "w_1")), spec))
+    assert set(found) == {"linkages url prefix", "linkages url found"}
 
 
 def test_empty_tables_fail(spark, spec):
     found = failed(gates.table_gates(frames(spark, spec, [], [], []), spec))
-    assert set(found) == {"files rows", "metadata rows", "linkages rows", "linkages present"}
+    assert set(found) == {"files rows", "metadata rows", "linkages rows", "linkages filled"}
 
 
 def test_single_gates_agree_with_the_joint_ones(spark, spec):
-    tables = extra(spark, spec, "linkages", ("https://else.example/a", "nobody"), (None, None))
+    tables = extra(spark, spec, "linkages", ("https://else.example/a", "w_nobody"), (None, None))
     tables["files"] = tables["files"].union(tables["files"].limit(2))
     joint = {g["name"]: tuple(g) for g in gates.table_gates(tables, spec).collect()}
     single = [
         gates.unique_gate(tables["files"], "url", "files url unique", empty_allowed=True),
         gates.unique_gate(tables["metadata"], "record_id", "metadata record_id unique"),
-        gates.present_gate(tables["linkages"], "linkages present"),
-        gates.reference_gate(tables["linkages"], tables["files"], "url", "linkages url known"),
-        gates.reference_gate(tables["linkages"], tables["metadata"], "record_id", "linkages record_id known"),
+        gates.present_gate(tables["linkages"], "linkages filled"),
+        gates.reference_gate(tables["linkages"], tables["files"], "url", "linkages url found"),
+        gates.reference_gate(tables["linkages"], tables["metadata"], "record_id", "linkages record_id found"),
         gates.prefix_gate(tables["files"], "url", spec.base_url, "files url prefix"),
         gates.prefix_gate(tables["linkages"], "url", spec.base_url, "linkages url prefix"),
         gates.prefix_gate(tables["metadata"], "metadata_url", spec.records_url, "metadata url prefix"),
@@ -117,11 +117,11 @@ def test_unsorted_files_fail(spark, spec, tmp_path):
     files = frames(spark, spec)["files"].coalesce(1)
     files.orderBy(F.desc("url")).write.parquet(f"{tmp_path}/f")
     gate = gates.sorted_gate(spark.read.parquet(f"{tmp_path}/f"), schemas.FILES).first()
-    assert (gate["ok"], gate["detail"]) == (False, "9 rows out of order by url")
+    assert (gate["ok"], gate["detail"]) == (False, "5 falls in the order of url")
 
 
 def test_enforce_names_every_failed_gate(spark, spec):
-    report = gates.table_gates(extra(spark, spec, "linkages", ("https://else.example/a", "nobody")), spec)
-    with pytest.raises(GateError, match="linkages url known.*linkages record_id known") as error:
+    report = gates.table_gates(extra(spark, spec, "linkages", ("https://else.example/a", "w_nobody")), spec)
+    with pytest.raises(GateError, match="linkages url found.*linkages record_id found") as error:
         gates.enforce(report.orderBy(F.desc("name")))
     assert "unique" not in str(error.value)

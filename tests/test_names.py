@@ -78,7 +78,7 @@ def test_json_parts(spark):
 
 
 def test_patterns(spark, spec):
-    model = "0b6a4d1e-0d9a-4b6e-9c4e-1f2a3b4c5d6e"
+    model = "m" * spec.model_id_length
 
     def matching(pattern, *keys):
         return values(spark, F.rlike("v", F.lit(pattern)), *keys)
@@ -86,16 +86,19 @@ def test_patterns(spark, spec):
     prefix = spec.key_prefix
     assert matching(
         spec.record_file_pattern,
-        prefix + "metadata/edan/acm/0f.txt",
-        prefix + "metadata/edan/acm/index.txt",
-        prefix + "metadata/edan/acm/0f.txt\n",
-        "arcXpub/metadata/edan/acm/0f.txt",
-    ) == [True, False, False, False]
+        prefix + "metadata/edan/u 7/c9.txt",
+        prefix + "metadata/edan/u 7/c9.txt.gz",
+        prefix + "metadata/edan/u 7/C9.txt",
+        prefix + "metadata/edan/u/7/c9.txt",
+        prefix + "metadata/edan/u 7/c9.txt\n",
+        "x" + prefix + "metadata/edan/u 7/c9.txt",
+        prefix.replace("/", "-") + "metadata/edan/u 7/c9.txt",
+    ) == [True, False, False, False, False, False, False]
     assert matching(
         spec.scene_key_pattern,
         prefix + f"3d/{model}/scene.svx.json",
-        prefix + f"3d/{model}/articles/scene.svx.json",
-        prefix + f"3d/{model}/sceneXsvx.json",
-        prefix + "3d/short/scene.svx.json",
+        prefix + f"3d/{model}m/scene.svx.json",
+        prefix + f"3d/{model}/scene-svx-json",
+        prefix + f"3d/{model}/old/scene.svx.json",
     ) == [True, False, False, False]
     assert values(spark, names.model_id(F.col("v"), spec), prefix + f"3d/{model}/a/b.glb", prefix + "3d/x/y") == [model, ""]

@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -5,6 +10,8 @@ from pyspark.sql import functions as F
 from shelfmark.operators.order_audit import order_audit
 from shelfmark.sinks.tables import write_sorted
 
+ROOT = Path(__file__).parent.parent
+
 
 def audit(spark, path, *keys):
     return tuple(order_audit(spark.read.parquet(str(path)), keys).first())
@@ -74,3 +81,19 @@ def test_write_sorted_puts_nulls_last_and_passes(spark, tmp_path):
     write_sorted(frame, f"{tmp_path}/t", ("k", "n"), level=5)
     assert audit(spark, f"{tmp_path}/t", "k", "n") == (5_000, 0)
     assert spark.read.parquet(f"{tmp_path}/t").count() == 5_000
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """A driver in another folder, whose Python workers cannot import the package."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from shelfmark.operators.order_audit import order_audit
+spark.range(10).repartition(3).write.parquet({str(tmp_path / "t")!r})
+print("found", order_audit(spark.read.parquet({str(tmp_path / "t")!r}), ["id"]).first()["rows"])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "found 10" in done.stdout, done.stderr[-2000:]
