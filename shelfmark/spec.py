@@ -69,8 +69,8 @@ class CatalogSpec:
         """Prefix of every record file as the reader names it."""
         return self.object_url(self.records_prefix)
 
-    # The patterns below are searched with ``rlike``. They end in \z, not $: in Java $ also
-    # matches before a final newline.
+    # The patterns below follow the archive's own names and must match the data. They are
+    # searched with ``rlike`` and end in \z, not $: in Java $ also matches before a final newline.
 
     @property
     def record_file_pattern(self) -> str:

@@ -3,6 +3,7 @@ import tempfile
 import pytest
 from pyspark.sql import SparkSession
 
+from shelfmark.sources.tables import clear_scratch
 from shelfmark.spec import CatalogSpec
 
 MODEL = "model-of-a-brass-sextant-from-1790-x7"[:36]
@@ -23,6 +24,7 @@ def spark():
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checkpoints-"))
     yield session
+    clear_scratch(session)
     session.stop()
 
 
