@@ -139,6 +139,20 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(key, line)``: the lines of the listed record files, each with the file it lies in."""
+    line = F.expr(_LINE.format(unit="unitCode", quote="'\\\\\"'"))
+    key = F.regexp_replace("filename", "^s3://store/", "")
+    return _records(spark, sf_dir).select(key.alias("key"), line.alias("line"))
+
+
+def scene_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(key, line)``: the text of each listed scene file."""
+    return scenes(spark, sf_dir).select(
+        F.regexp_replace("filename", "^s3://store/", "").alias("key"), F.expr("concat('{\"metas\":', metas, '}')").alias("line")
+    )
+
+
 def faulty_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(model, text)``: scene files, one in 200 of them with text behind its value."""
     return table(spark, sf_dir, "supplier").select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,8 @@ from catalog_queries.inputs import (
     faulty_scenes,
     listing,
     metadata,
+    record_lines,
+    scene_texts,
     scenes,
     table,
 )
@@ -24,6 +28,7 @@ from shelfmark.operators import files, gates, links, models, ranges, records
 from shelfmark.operators.hot_join import spread_join
 from shelfmark.operators.listing import coverage
 from shelfmark.operators.order_audit import order_audit
+from shelfmark.plans.steps import Rebuild
 from shelfmark.sinks import tables as sink
 from shelfmark.sources.inventory import read_inventory
 from shelfmark.sources.records import ingest_records
@@ -243,6 +248,32 @@ def inventory(spark, sf_dir):
     return found.withColumn("last_modified", naive_utc(F.col("last_modified")))
 
 
+def _write_tree(spark: SparkSession, lines: DataFrame, root: str) -> str:
+    """Text files named by ``key`` below ``root``, made of the lines ``(key, line)``; the root as readers name it."""
+    loose = scratch_path(spark, "loose-files")
+    named = lines.select(F.md5("key").alias("name"), F.col("line").alias("value"))
+    named.repartition("name").write.partitionBy("name").text(loose)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(loose).getFileSystem(spark._jsc.hadoopConfiguration())
+    # a store's files get their names on the driver, as an upload would
+    for row in lines.select("key", F.md5("key").alias("name")).distinct().collect():
+        target = path(f"{root}/{row['key']}")
+        files.mkdirs(target.getParent())
+        [part] = [f.getPath() for f in files.listStatus(path(f"{loose}/name={row['name']}"))]
+        files.rename(part, target)
+    return re.sub("^file:/+", "file:///", files.makeQualified(path(root)).toString())
+
+
+def rebuild(spark, sf_dir):
+    """The whole job on a tree of record and scene files: what it publishes."""
+    texts = record_lines(spark, sf_dir).unionByName(scene_texts(spark, sf_dir))
+    root = _write_tree(spark, texts, scratch_path(spark, "store"))
+    spec = replace(SPEC, store_url=f"{root}/")
+    job = Rebuild(spark, spec, scratch_path(spark, "work"), scratch_path(spark, "release"))
+    job.run(listing(spark, sf_dir))
+    return _as_one(sink.read_catalog(spark, job.target))
+
+
 def earlier_release(spark, sf_dir):
     """Rows of the tables of an earlier release, null for one that does not exist."""
     root = _catalog(spark, sf_dir)
@@ -424,6 +455,6 @@ QUERIES = {
         url_query_param, malformed_documents, record_ingest, gate_schema, gate_drift, gate_unique,
         gate_present, gate_reference, gate_prefix, gate_report, catalog_write, catalog_sort_audit,
         stored_order_audit, publish, bad_scene_files, inventory, earlier_release, hot_media_links, gate_faults,
-        coverage_faults,
+        coverage_faults, rebuild,
     )
 }
