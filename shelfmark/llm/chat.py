@@ -12,6 +12,7 @@ from these tables alone; then every part recovers its own lines. No conversation
 Defined cases: lines without conversation are one conversation, named null; lines are ordered by turn,
 nulls first, then by their text; a null text is an empty line; roles other than ``ROLES`` and their
 ``ALIASES`` teach nothing; without any known role the markers decide. Repeated rows are lines of their own.
+Of several equally likely sequences of roles one is taken; which one may depend on where parts end.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ always to the same value in the document. A document leaks an item when consiste
 least 80 % of its windows.
 
 Names are words with a capital first letter within a sentence, units are the words of ``UNITS`` after
-a number and currency signs. A template window needs ``MIN_PLAIN`` words that are no placeholders.
+a number and currency signs. A template window needs ``MIN_PLAIN`` word that is no placeholder.
 
 Defined cases: null and empty texts match nothing; items with fewer than ``MIN_WORDS`` words are not
 searched; documents that repeat doc_id and text are one document; a repeated item_id means items
@@ -26,12 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Memo, maybe_in_array, sketch, sketch_array, staged, worker_cached
+from shelfmark.llm.common import Memo, maybe_in_array, sketch, sketch_array, staged
 
 WINDOW = 5
 COVERAGE = 0.8
 MIN_WORDS = 5
-MIN_PLAIN = 3
+MIN_PLAIN = 1
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£¥°]")
 UNITS = frozenset(
     "mm cm m km inch inches feet foot yards yard mile miles mg g kg gram grams kilogram kilograms ton tons ounce ounces "
@@ -76,7 +76,7 @@ def _memos() -> tuple[Memo, ...]:
     def make(state):
         return Memo(lambda chunk: _canonical(chunk, state))
 
-    return worker_cached(("templates",), lambda: tuple(make(state) for state in (START, WITHIN, COUNTED)))
+    return tuple(make(state) for state in (START, WITHIN, COUNTED))
 
 
 def templates(text: str | None, memos: tuple[Memo, ...]) -> np.ndarray:
