@@ -16,8 +16,8 @@ from shelfmark.sources.tables import stage as stage_at
 # what is broadcast for them.
 HOT = 1_000
 
-# Words of a memo that a Python worker keeps before it starts afresh: a bound on memory, not on work.
-MEMO = 400_000
+# Values that a memo in a Python worker keeps before it starts afresh: a bound on memory, not on work.
+MEMO = 200_000
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -26,9 +26,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def worker_cached(key: tuple, make: Callable):
-    """An object that a Python worker makes once and keeps for later tasks."""
+    """An object that a Python worker makes once and keeps for later tasks, until another takes its place."""
     kept = sys.__dict__.setdefault("_shelfmark_kept", {})
     if key not in kept:
+        kept.clear()
         kept[key] = make()
     return kept[key]
 
