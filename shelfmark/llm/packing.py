@@ -14,10 +14,14 @@ repeated ones. An id of a document lies in exactly one piece.
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,7 +35,12 @@ CAPACITY = 2048
 END = 1  # the id that ends each document
 TOLERANCE = 1 / 32  # of a place that may stay empty
 BUCKET_ROWS = 100_000  # pieces that are numbered together
-LONG_CHUNK = 100  # characters; longer words are not remembered
+LONG_PIECE = 100  # characters; longer ones are not remembered
+PORTION = 4_000_000  # characters of texts that are encoded together
+PIECES = 3 * MEMO  # whose ids are remembered
+WORDS = 200  # that are encoded as one text
+MARKS = ".,;:!?"
+MARKED = re.compile(r"[^\w\s][.,;:!?]|_[.,;:!?]")  # a mark that may be one token with what precedes it
 CLASS_SHIFT = 40  # sequence_id: class * 2**40 + number of the bin
 ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space for str.split, but not for tokenizers
 
@@ -60,8 +69,10 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int, int]]:
 class Encoder:
     """Little-endian 32-bit ids of texts.
 
-    The tokenizer never joins characters across white space, so words are encoded one by one, each
-    once as long as it is remembered.
+    The tokenizer never joins characters across white space, nor letters or digits with a mark after
+    them, and lowers letters one by one. So a text is cut there, in small letters, and each piece is
+    encoded once as long as it is remembered. Texts in which this would change something are cut at
+    white space only, or not at all.
     """
 
     def __init__(self, model: str):
@@ -70,26 +81,80 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(model)
         self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
+        self.long: list[str] = []  # forgotten at the next call
+        suffix = json.loads(model)["model"].get("end_of_word_suffix")
+        self.ends = None  # which ids end a word, if the vocabulary tells
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[n for token, n in vocabulary.items() if token.endswith(suffix)]] = True
+
+    @staticmethod
+    def cut(text: str) -> list[str] | None:
         if ODD_SPACE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        chunks = text.split()
+            return None
+        if not ("<|" in text or "\u0130" in text or "\u03a3" in text or MARKED.search(text)):
+            text = text.lower()
+            for mark in MARKS:
+                text = text.replace(mark, " " + mark)
+        return text.split()
+
+    def learn(self, pieces: set[str]) -> None:
+        """Remember the ids of some pieces without spaces."""
         known = self.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(known) > MEMO:
+        for piece in self.long:
+            known.pop(piece, None)
+        new = [p for p in pieces if p not in known]
+        if len(known) + len(new) > PIECES:
             known.clear()
-        new = [c for c in set(chunks) if c not in known]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
-        out = b"".join(map(known.__getitem__, chunks))
-        for chunk in new:
-            if len(chunk) > LONG_CHUNK:
-                del known[chunk]
-        return out
+            new = list(pieces)
+        self.long = [p for p in new if len(p) > LONG_PIECE]
+        self._encode_words([p for p in new if p.isalpha()])
+        self._encode_each([p for p in new if not p.isalpha()])
+
+    def _encode_each(self, pieces: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(pieces, found, strict=True))
+
+    def _encode_words(self, words: list[str]) -> None:
+        """Encode words of letters, many in one text where the ids tell which of them end a word."""
+        if self.ends is None:
+            return self._encode_each(words)
+        for at in range(0, len(words), WORDS):
+            some = words[at : at + WORDS]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):
+                self._encode_each(some)
+                continue
+            data, start = ids.tobytes(), 0
+            for word, end in zip(some, (4 * ends).tolist(), strict=True):
+                self.known[word] = data[start:end]
+                start = end
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        split = [self.cut(text) for text in texts]
+        self.learn(set().union(*filter(None, split)))
+        for text, pieces in zip(texts, split, strict=True):
+            if pieces is None:
+                yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            else:
+                yield b"".join(map(self.known.__getitem__, pieces))
+
+
+def _portions(column: pa.Array) -> Iterator[list[str]]:
+    """The texts of a column, some millions of characters at a time."""
+    some, size = [], 0
+    for text in column:
+        some.append(text.as_py() or "")
+        size += len(some[-1])
+        if size > PORTION:
+            yield some
+            some, size = [], 0
+    yield some
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
@@ -102,10 +167,13 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def read(batches):
         encoder = worker_cached(("tokenizer", path), lambda: Encoder(model.value))
+        gc.disable()  # what is remembered holds no cycles, but would be walked again and again
+        encoder.known.clear()  # the worker serves other stages too, so only the tokenizer stays
         for batch in batches:
             rows, ids = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                data = memoryview(encoder.encode(text.as_py() or "") + end)
+            texts = (data for some in _portions(batch.column("text")) for data in encoder.encode_all(some))
+            for doc_id, encoded in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                data = memoryview(encoded + end)
                 n = len(data) // 4
                 for start, length, k in cuts(n, capacity):
                     part = data[4 * start : 4 * (start + length)]
@@ -115,6 +183,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 2, strict=True)]
             if rows:
                 yield pa.RecordBatch.from_arrays(columns + ([pa.array(ids, pa.list_(pa.int32()))] if with_ids else []), names + ["ids"] * with_ids)
+        encoder.known.clear()
+        gc.enable()
 
     schema = "doc_id bigint, start bigint, length bigint, class int, ids_crc32 bigint, doc_tokens bigint"
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(read, schema + ", ids array<int>" * with_ids)
