@@ -3,8 +3,8 @@
 A document's set holds hashes of its word n-grams in one global order, that of the hash. Candidates
 come from runs of that order: two sets that are similar enough differ in so few n-grams that, cut into
 more runs than that, they agree in at least one whole run. Only sets that share the hash of a whole run
-can be linked; they form clusters. Within a cluster the sets are stored in a trie in the global order;
-each set walks it once, so that sets with a common beginning share the counting of their overlap, and
+can be linked; they form clusters. Within a cluster the sets are stored in a trie, ordered by how common
+an n-gram is among their differences from the usual set; each set walks it once, so that sets with a common beginning share the counting of their overlap, and
 a subtree is left as soon as what remains cannot reach the overlap needed, or when all of it is
 already connected to the walking set. Clusters beyond ``CELL`` n-grams are cut into chunks, each
 joined with the cluster's first set; what is not connected after that is compared again across chunks.
@@ -25,12 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Memo, components, join_counted, maybe_in, sketch, staged, worker_cached
+from shelfmark.llm.common import Memo, components, join_counted, maybe_in, sketch, staged
 
 N = 3
 PERCENT = 90
 SLACK = 3  # more runs than needed, so that sets with an empty run still agree in a full one
-CELL = 1_000_000  # n-grams that one trie holds, about
+CELL = 3_000_000  # n-grams that one trie holds, about; two such chunks meet in one cell
+BUNDLE = 256  # sets of a branch that is not split further
+SET_WEIGHT = 1_000  # n-grams that a set counts for besides its own, since sets are compared in pairs
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -42,7 +44,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes() -> Memo:
-    return worker_cached(("word hashes",), lambda: Memo(xxhash.xxh3_64_intdigest))
+    return Memo(xxhash.xxh3_64_intdigest)
 
 
 def shingles(text: str | None, n: int, memo: Memo) -> np.ndarray:
@@ -107,91 +109,135 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 class Trie:
-    """Sets in global order, sorted; a node is the run that its sets share and the range of its sets."""
+    """Sets as a prefix tree, each as its differences from what most of them have.
+
+    Two sets that differ little from a third differ little from each other, and their differences from
+    it are far shorter than they are: |x ^ y| = |(x ^ c) ^ (y ^ c)|. N-grams are ordered by how many
+    differences have them, most first, so that prefixes are shared; those of one set alone count for
+    its length only. A node is the run that its sets share and the range of its sets; small branches
+    are not split further, but looked at in one go.
+    """
 
     def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.sizes = np.array([len(s) for s in sets])
-        self.nodes = []  # run, first and last set, smallest and largest size, depth after the run, children
-        todo = [(0, len(sets), 0, None)]
+        ids, places, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        usual = 2 * counts > len(sets)
+        held = np.where(usual, len(sets) - counts, counts)
+        rank = np.empty(len(ids), np.int64)
+        rank[np.argsort(-held, kind="stable")] = np.arange(len(ids))
+        consensus, cuts = np.flatnonzero(usual), np.cumsum([len(s) for s in sets])[:-1]
+        differences = [np.setxor1d(p, consensus, assume_unique=True) for p in np.split(places, cuts)]
+        found = [np.sort(rank[d[held[d] > 1]]) for d in differences]
+        self.order = sorted(range(len(sets)), key=lambda n: found[n].astype(">u4").tobytes())
+        self.runs = runs = [found[n] for n in self.order]
+        self.sizes = np.array([len(sets[n]) for n in self.order])
+        self.differ = np.array([len(differences[n]) for n in self.order])
+        lengths = np.array([len(r) for r in runs])
+        self.size = len(ids)
+        # run, first and last set, sizes of sets, least difference, longest run from the root, depth,
+        # children, leaves
+        self.nodes = []
+        todo: list = [(0, len(runs), 0, None)]
         while todo:
             lo, hi, depth, parent = todo.pop()
-            a, b = sets[lo][depth:], sets[hi - 1][depth:]
+            a, b = runs[lo][depth:], runs[hi - 1][depth:]
             m = min(len(a), len(b))
             other = np.flatnonzero(a[:m] != b[:m])
             end = depth + (int(other[0]) if len(other) else m)
             children: list[int] = []
+            leaves: list[np.ndarray] = []
             if parent is not None:
                 parent.append(len(self.nodes))
             sizes = self.sizes[lo:hi]
-            self.nodes.append((sets[lo][depth:end], lo, hi, int(sizes.min()), int(sizes.max()), end, children))
-            at = lo
-            while at < hi and len(sets[at]) == end:
-                at += 1
-            if at > lo and at < hi:  # sets that end here are a child with an empty run
-                todo.append((lo, at, end, children))
-            while hi - lo > 1 and at < hi:
-                first, low, high = sets[at][end], at, hi
-                while high - low > 1:
-                    mid = (low + high) // 2
-                    low, high = (mid, high) if sets[mid][end] == first else (low, mid)
-                todo.append((at, high, end, children))
+            self.nodes.append((
+                runs[lo][depth:end], lo, hi, int(sizes.min()), int(sizes.max()),
+                int(self.differ[lo:hi].min()), int(lengths[lo:hi].max()), end, children, leaves,
+            ))
+            if hi - lo <= BUNDLE or len(runs[lo]) == len(runs[hi - 1]) == end:
+                rests = [r[end:] for r in runs[lo:hi]]
+                leaves += [np.arange(lo, hi), np.concatenate(rests), np.r_[0, np.cumsum([len(r) for r in rests])]]
+                continue
+            at = start = lo
+            while at < hi:  # neighbouring branches are taken together up to a bundle
+                low, high = at, hi
+                if len(runs[at]) == end:
+                    while low < hi and len(runs[low]) == end:
+                        low += 1
+                    high = low
+                else:
+                    first = runs[at][end]
+                    while high - low > 1:
+                        mid = (low + high) // 2
+                        low, high = (mid, high) if runs[mid][end] == first else (low, mid)
+                if high - start > BUNDLE and at > start:
+                    todo.append((start, at, end, children))
+                    start = at
                 at = high
+            todo.append((start, hi, end, children))
 
     def join(self, labels: np.ndarray, left: np.ndarray, percent: int) -> np.ndarray:
         """Connect linked sets whose labels differ, one of them in ``left``; labels become those of components."""
-        labels = labels.copy()
+        labels, left = labels[self.order], left[self.order]
         changes = np.r_[0, np.cumsum(labels[1:] != labels[:-1])]
         lefts = np.r_[0, np.cumsum(left)]
-        for i, x in enumerate(self.sets):
-            n = len(x)
-            todo = [(0, 0, 0)]
+        mine = np.zeros(self.size, bool)
+        for i, x in enumerate(self.runs):
+            n, size, own = len(x), int(self.sizes[i]), int(self.differ[i])
+            mine[x] = True
+            todo = [(0, 0)]
             while todo:
-                node, overlap, at = todo.pop()
-                run, lo, hi, least, most, depth, children = self.nodes[node]
-                if hi <= i + 1 or 100 * most < percent * n or 100 * n < percent * least:
+                node, overlap = todo.pop()
+                run, lo, hi, least, most, shortest, longest, depth, children, leaves = self.nodes[node]
+                if hi <= i + 1 or 100 * most < percent * size or 100 * size < percent * least:
                     continue
                 if changes[hi - 1] == changes[lo] and labels[lo] == labels[i]:
                     continue
                 if not left[i] and lefts[hi] == lefts[lo]:
                     continue
-                if len(run):
-                    places = np.searchsorted(x[at:], run) + at
-                    inside = places < n
-                    overlap += int(np.count_nonzero(x[places[inside]] == run[inside]))
-                    at = int(places[-1]) + (1 if inside[-1] and x[places[-1]] == run[-1] else 0)
-                smallest = max(least, -(-percent * n // 100))
-                needed = -(-percent * (n + smallest) // (100 + percent))
-                if overlap + min(n - at, most - depth) < needed:
+                overlap += int(np.count_nonzero(mine[run]))
+                # linked sets differ in so many n-grams at most, so their differences share so many at least
+                needed = (own + shortest - (size + most) * (100 - percent) // (100 + percent) + 1) // 2
+                rest = n - int(np.searchsorted(x, run[-1], side="right")) if len(run) else n
+                if overlap + min(rest, longest - depth) < needed:
                     continue
-                if children:
-                    todo.extend((child, overlap, at) for child in children)
-                elif 100 * overlap >= percent * (n + depth - overlap):
-                    for j in range(max(lo, i + 1), hi):
-                        if labels[j] != labels[i] and (left[i] or left[j]):
-                            labels[labels == labels[j]] = labels[i]
-                            changes = np.r_[0, np.cumsum(labels[1:] != labels[:-1])]
-        return labels
-
-
-def _cell_join(percent: int):
+                todo.extend((child, overlap) for child in children)
+                if not leaves:
+                    continue
+                below, flat, ends = leaves
+                counted = np.r_[0, np.cumsum(mine[flat])][ends]
+                shared = overlap + counted[1:] - counted[:-1]
+                total = size + self.sizes[below]
+                both = (total - (own + self.differ[below] - 2 * shared)) // 2
+                linked = (100 * both >= percent * (total - both)) & (below > i) & (left[i] | left[below])
+                for j in below[linked & (labels[below] != labels[i])].tolist():
+                    labels[labels == labels[j]] = labels[i]
+                    changes = np.r_[0, np.cumsum(labels[1:] != labels[:-1])]
+            mine[x] = False
+        after = np.empty_like(labels)
+        after[self.order] = labels
+        return after
+
+
+def _cell_join(n: int, percent: int):
     """Links within one cell as (a, b): each set with one that stands for its component."""
 
     def join(table: pa.Table) -> pa.Table:
-        ids, before = table["set_id"].to_numpy(), table["label"].to_numpy()
-        is_left = np.array(table["left"].to_pylist(), dtype=bool)
-        sets = [np.array(s, dtype=np.int64).view(np.uint64) for s in table["shingles"].to_numpy()]
-        order = sorted(range(len(sets)), key=lambda n: sets[n].astype(">u8").tobytes())
-        keep = [n for n, m in zip(order, [None, *order], strict=False) if m is None or ids[n] != ids[m]]
-        marked = set(ids[is_left].tolist())
-        ids, before = ids[keep], before[keep]
-        _, labels = np.unique(before, return_inverse=True)
-        after = Trie([sets[n] for n in keep]).join(labels, np.array([x in marked for x in ids.tolist()]), percent)
-        first = {}
-        for label, x in zip(after.tolist(), ids.tolist(), strict=True):
+        memo = word_hashes()
+        rows = zip(*(table[c].to_pylist() for c in ("set_id", "label", "left")), table["text"], strict=True)
+        known: dict[int, tuple[np.ndarray, int]] = {}
+        marked = set()
+        for set_id, label, left, text in rows:
+            if set_id not in known:
+                known[set_id] = shingles(text.as_py(), n, memo), label
+            if left:
+                marked.add(set_id)
+        ids = sorted(known)
+        _, labels = np.unique([known[x][1] for x in ids], return_inverse=True)
+        after = Trie([known[x][0] for x in ids]).join(labels, np.array([x in marked for x in ids]), percent)
+        first: dict[int, int] = {}
+        for label, x in zip(after.tolist(), ids, strict=True):
             first.setdefault(label, x)
-        b = np.array([first[label] for label in after.tolist()], dtype=np.int64)
-        return pa.table({"a": ids[ids != b], "b": b[ids != b]})
+        links = [(x, first[label]) for label, x in zip(after.tolist(), ids, strict=True) if x != first[label]]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
     return join
 
@@ -207,54 +253,48 @@ def _clusters(sets: DataFrame) -> DataFrame:
     return components(edges.select(F.col("set_id").alias("a"), F.col("hub").alias("b")))
 
 
-def _arrays(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    """``members`` (set_id, first_doc, ..) with the n-grams of each set, read again from one of its documents."""
-    wanted = sketch(members, "first_doc")
-    some = maybe_in(docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("first_doc"), "text"), wanted, "first_doc")
-
-    def read(batches):
-        memo = word_hashes()
-        for batch in batches:
-            found = [shingles(text.as_py(), n, memo) for text in batch.column("text")]
-            ids = pa.array([_set_id(s) if len(s) else None for s in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["set_id", "shingles"])
-
-    found = some.select("text").mapInArrow(read, "set_id bigint, shingles array<bigint>")
-    once = found.join(members.select("set_id"), "set_id").groupBy("set_id").agg(F.first("shingles").alias("shingles"))
-    return members.join(once, "set_id")
+def _with_text(cells: DataFrame, docs: DataFrame) -> DataFrame:
+    """``cells`` with a text for each ``text_hash``: texts are smaller to move than their n-grams."""
+    hashed = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("text_hash"), "text")
+    texts = maybe_in(hashed, sketch(cells, "text_hash"), "text_hash").groupBy("text_hash").agg(F.first("text").alias("text"))
+    return cells.join(texts, "text_hash")
 
 
 def linked_sets(docs: DataFrame, sets: DataFrame, n: int, percent: int, cell: int = CELL) -> DataFrame:
     """``(node, root)``: connected components of linked sets; sets without links are not listed."""
     clusters = _clusters(sets)
-    first = F.min(F.coalesce("doc_id", F.lit(-1))).alias("first_doc")
-    known = sets.where("set_id IS NOT NULL").groupBy("set_id").agg(first, F.max("n_shingles").alias("n_shingles"))
+    known = sets.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"), F.max("n_shingles").alias("size"))
     members = staged(clusters.withColumnRenamed("node", "set_id").join(known, "set_id"), "members")
-    weights = members.groupBy("root").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("n"))
+    weights = members.groupBy("root").agg(F.sum(F.col("size") + SET_WEIGHT).alias("weight"), F.count("*").alias("n"))
     weights = weights.select("root", "n", F.ceil(F.col("weight") / cell).cast("int").alias("chunks"))
-    members = staged(join_counted(members, weights, "root", "n", members.count()), "members")
     chunk = F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int")
-    members = staged(_arrays(docs, members, n).withColumn("chunk", chunk), "set-arrays")
-    schema, join = "a bigint, b bigint", _cell_join(percent)
+    members = staged(join_counted(members, weights, "root", "n", members.count()).withColumn("chunk", chunk), "members")
+    schema, join = "a bigint, b bigint", _cell_join(n, percent)
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    whole = members.select("root", "chunk", "set_id", "shingles", F.col("set_id").alias("label"), F.lit(True).alias("left"))
+    columns = ["root", "set_id", "text_hash"]
+    whole = members.select(*columns, "chunk", F.col("set_id").alias("label"), F.lit(True).alias("left"))
     pivots = members.where("set_id = root AND chunks > 1").select(
-        "root", F.explode(every).alias("chunk"), "set_id", "shingles", F.col("set_id").alias("label"), F.lit(True).alias("left")
+        *columns, F.explode(every).alias("chunk"), F.col("set_id").alias("label"), F.lit(True).alias("left")
     )
-    links = staged(whole.union(pivots).groupBy("root", "chunk").applyInArrow(join, schema), "links")
+    links = _with_text(whole.union(pivots), docs).groupBy("root", "chunk").applyInArrow(join, schema)
+    links = staged(links, "links")
     cut = members.where("chunks > 1")
     if cut.isEmpty():
         return components(links)
     # sets outside the largest component of a cluster that was cut meet all its chunks
     labels = components(links).select(F.col("node").alias("set_id"), F.col("root").alias("label"))
     cut = staged(cut.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id")), "cut")
-    main = cut.groupBy("root", "label").count().groupBy("root").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("parts"))
-    rest = cut.join(main.where("parts > 1"), "root")
-    columns = ["root", "set_id", "shingles", "label"]
-    left = rest.select(*columns, "chunk", F.explode(every).alias("other"), (F.col("label") != F.col("main")).alias("left"))
+    main = cut.groupBy("root", "label").agg(F.count("*").alias("n"))
+    main = main.groupBy("root").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n"))
+    rest = join_counted(cut, main.where("parts > 1"), "root", "n", cut.count()).where("parts IS NOT NULL")
+    columns.append("label")
+    outside = F.col("label") != F.col("main")
+    # two sets outside meet in one of their two cells
+    others = F.sequence(F.when(outside, F.col("chunk")).otherwise(F.lit(0)), F.col("chunks") - 1)
+    left = rest.select(*columns, "chunk", F.explode(others).alias("other"), outside.alias("left"))
     right = rest.where("label <> main").select(*columns, F.explode(every).alias("chunk"), F.col("chunk").alias("other"), F.lit(True).alias("left"))
-    more = staged(left.union(right).groupBy("root", "chunk", "other").applyInArrow(join, schema), "links")
-    return components(links.union(more))
+    more = _with_text(left.union(right), docs).groupBy("root", "chunk", "other").applyInArrow(join, schema)
+    return components(links.union(staged(more, "links")))
 
 
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, cell: int = CELL) -> DataFrame:
