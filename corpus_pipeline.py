@@ -23,8 +23,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each component of near copies."""
-    return jaccard.keep_first(docs)
+    """The first document of each component of near copies: five-word shingle sets that agree to 80 %."""
+    return jaccard.keep_first(docs, n=5, percent=80)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
