@@ -8,7 +8,8 @@ are aligned by patience diff: common beginnings and ends, then lines that occur
 their longest common order, and the same again between these; where only repeated lines are left, the first of
 one side goes with the first of the other. Aligned lines that follow each other on both
 sides make a block; blocks of at least ``min_words`` words are deleted from the later document, and the
-rest is aligned again until nothing is found, as blocks may have changed places.
+rest is aligned again until nothing is found, as blocks may have changed places. A moved block that short
+lines outvote in every alignment is found by its runs at the end, so none of so many words is left.
 
 Documents are ordered by (doc_id, hash of the text), nulls first. Defined cases: a null text stays
 null, an empty one empty; blank lines are neither compared nor deleted; rows that repeat doc_id and
@@ -76,8 +77,35 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(aligned)
 
 
+def spans(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(start, end) of the shortest runs of lines with at least ``min_words`` words, one from and one to each line."""
+    found, start, end, total = [], 0, 0, 0
+    for start in range(len(words)):
+        while total < min_words and end < len(words):
+            total += words[end]
+            end += 1
+        if total < min_words:
+            break
+        found.append((start, end))
+        total -= words[start]
+    start, total = 0, 0
+    for end in range(len(words)):
+        total += words[end]
+        while total - words[start] >= min_words:
+            total -= words[start]
+            start += 1
+        if total >= min_words:
+            found.append((start, end + 1))
+    return found
+
+
 def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[int]:
-    """Positions in ``b`` of aligned blocks with at least ``min_words`` words; ``words`` belong to ``b``."""
+    """Positions in ``b`` of common blocks with at least ``min_words`` words; ``words`` belong to ``b``.
+
+    An alignment may prefer many short lines to one long block that moved. What no round has aligned is
+    found by its runs: each line of a common block is in a shortest run, from its first line or to its
+    last one, that lies within the block.
+    """
     left, found = list(range(len(b))), []
     while True:
         more, block, last = [], [], (-2, -2)
@@ -90,10 +118,17 @@ def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int)
             block.append(j)
             last = (i, j)
         if not more:
-            return sorted(found)
+            break
         found += more
         gone = set(more)
         left = [j for j in left if j not in gone]
+    if left:
+        of = dict(zip(b, words, strict=True))
+        held = {tuple(a[i:k]) for i, k in spans([of.get(h, 0) for h in a], min_words) if all(h in of for h in a[i:k])}
+        for j, k in spans(words, min_words):
+            if tuple(b[j:k]) in held:
+                found += range(j, k)
+    return sorted(set(found))
 
 
 def runs(hashes: list[int], words: list[int], min_words: int) -> set[int]:

@@ -87,6 +87,36 @@ def test_common_blocks_go_from_the_later_document(spark):
         known |= set(seeds(lines, line_dedup.MIN_WORDS))
 
 
+def test_short_common_lines_do_not_hide_a_moved_block():
+    a, b = ["P", "h1", "x", "h2"], ["h1", "y", "h2", "P"]
+    assert line_dedup.common_blocks(a, b, [2, 9, 3, 60], 20) == [3]
+
+
+@given(st.lists(st.integers(0, 6), max_size=14), st.lists(st.integers(0, 6), max_size=14), st.integers(1, 25))
+def test_common_blocks_are_all_that_two_documents_share(a, b, min_words):
+    words = [2 * x + 1 for x in b]
+    blocks = {tuple(a[i:k]) for i in range(len(a)) for k in range(i + 1, len(a) + 1)}
+    expected = set()
+    for j in range(len(b)):
+        for k in range(j + 1, len(b) + 1):
+            if sum(words[j:k]) >= min_words and tuple(b[j:k]) in blocks:
+                expected |= set(range(j, k))
+    assert line_dedup.common_blocks(a, b, words, min_words) == sorted(expected)
+
+
+def test_moved_passages_go_between_frequent_short_lines(spark):
+    rng = random.Random(9)
+    heads, passages = [f"Notice {n}" for n in range(6)], [sentence(rng, 40) for _ in range(4)]
+    rows = []
+    for doc_id in range(40):
+        lines = [x for head in heads for x in (head, sentence(rng, 8))]
+        at = rng.randrange(len(lines) + 1)
+        lines[at:at] = [sentence(rng, 8), passages[doc_id % 4], sentence(rng, 8)]
+        rows.append((doc_id, "\n".join(lines)))
+    found = line_dedup.dedup_lines(documents(spark, rows)).collect()
+    assert {r.doc_id: r.lines_deleted for r in found} == {n: int(n > 3) for n in range(40)}
+
+
 def test_a_line_that_all_documents_share_stays_in_the_first_only(spark):
     rng = random.Random(4)
     passage = sentence(rng, 60)
