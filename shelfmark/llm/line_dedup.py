@@ -1,9 +1,9 @@
 """Line dedup by pairwise alignment: common blocks of lines go from the later of two documents.
 
-What founds a pair is a shared line that is rare because it is long: at each line begins a run of as many
-lines as have ``min_words`` words together, and the run's hash points every document that holds it at the
-first that does. That makes pairs in proportion to the lines, however many documents share one, and any
-block of so many words that occurs in an earlier document begins with such a run. The lines of each pair
+What founds a pair is a shared line that is rare because it is long: at each line begins, and at each ends,
+a run of as many lines as have ``min_words`` words together, and the run's hash points every document that
+holds it at the first that does. That makes pairs in proportion to the lines, however many documents share
+one, and each line of a block of so many words that occurs in an earlier document is in such a run. The lines of each pair
 are aligned by patience diff: common beginnings and ends, then lines that occur once on both sides, in
 their longest common order, and the same again between these; where only repeated lines are left, the first of
 one side goes with the first of the other. Aligned lines that follow each other on both
@@ -132,17 +132,8 @@ def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int)
 
 
 def runs(hashes: list[int], words: list[int], min_words: int) -> set[int]:
-    """Hashes of the shortest runs of lines with at least ``min_words`` words, one from each line."""
-    found, end, total = set(), 0, 0
-    for start in range(len(hashes)):
-        while total < min_words and end < len(hashes):
-            total += words[end]
-            end += 1
-        if total < min_words:
-            break
-        found.add(xxhash.xxh3_64_intdigest(struct.pack(f"{end - start}q", *hashes[start:end])) - (1 << 63))
-        total -= words[start]
-    return found
+    """Hashes of the shortest runs of lines with at least ``min_words`` words, one from and one to each line."""
+    return {xxhash.xxh3_64_intdigest(struct.pack(f"{end - start}q", *hashes[start:end])) - (1 << 63) for start, end in spans(words, min_words)}
 
 
 def _run_reader(min_words: int):

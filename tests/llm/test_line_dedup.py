@@ -117,6 +117,14 @@ def test_moved_passages_go_between_frequent_short_lines(spark):
     assert {r.doc_id: r.lines_deleted for r in found} == {n: int(n > 3) for n in range(40)}
 
 
+def test_the_end_of_a_block_goes_that_the_first_holder_lacks(spark):
+    rng = random.Random(12)
+    one, two, three = (sentence(rng, n) for n in (15, 15, 3))
+    rows = [(1, f"{one}\n{two}"), (2, f"{one}\n{two}\n{three}"), (3, f"{sentence(rng, 5)}\n{one}\n{two}\n{three}")]
+    found = line_dedup.dedup_lines(documents(spark, rows)).collect()
+    assert {r.doc_id: r.lines_deleted for r in found} == {1: 0, 2: 2, 3: 3}
+
+
 def test_a_line_that_all_documents_share_stays_in_the_first_only(spark):
     rng = random.Random(4)
     passage = sentence(rng, 60)
