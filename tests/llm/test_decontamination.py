@@ -40,6 +40,26 @@ def test_slots_must_be_bound_consistently(spark):
     assert set(found) == {(1, 1)}
 
 
+def test_names_that_begin_sentences_and_values_of_other_lengths(spark):
+    tom = "Tom buys 3 pens. Tom sells 2 pens. How many pens does Tom have left?"
+    city = "Last week a bus left New York with thirteen children and twenty five bags and came to New York again after one hour"
+    shop = "Maria bakes zero cakes on Monday. Maria bakes nineteen cakes on Friday. Maria eats one. How many cakes are left?"
+    benchmark = [(1, tom), (2, city), (3, shop)]
+    other = city.replace("New York", "Leeds").replace("thirteen", "3").replace("twenty five", "25").replace("one", "two")
+    docs = [
+        (1, "Ann buys 4 pens. Ann sells 1 pens. How many pens does Ann have left?"),
+        (2, f"It is said: {other}."),
+        (3, city.lower()),
+        (4, shop.replace("Maria", "Omar").replace("zero", "7").replace("nineteen", "twenty one").replace("one.", "2.")),
+        (5, "Ann buys 4 pens. Bob sells 1 pens. How many pens does Eve have left?"),
+        (6, f"Today we ask: {tom.replace('Tom', 'Mary Ann')}"),
+    ]
+    found = pairs(spark, docs, benchmark)
+    assert set(found) == {(1, 1), (2, 2), (3, 2), (4, 3), (6, 1)}
+    assert all(r.coverage == 1 for r in found.values())
+    assert [found[x].exact for x in sorted(found)] == [False, False, True, False, False]
+
+
 def test_equals_brute_force_without_placeholders(spark):
     rng = random.Random(7)
     benchmark = [(n, sentence(rng, rng.randrange(5, 30))) for n in range(25)]
