@@ -1,5 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from shelfmark.llm.collocations import COVER_PERCENT, LONGEST, SCALE, THRESHOLD, TOP
 from shelfmark.llm.licenses import BAND, BASE, COVERAGE, GRAM, MORE, STRETCH
 
 # SHA-1 in hexadecimal digits, as base 32: eight characters from each ten digits
@@ -55,4 +56,37 @@ SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(f.n_base, 0)::BIGINT
   coalesce(f.score, 0)::DOUBLE AS score
 FROM texts t LEFT JOIN found f ON t.doc_id IS NOT DISTINCT FROM f.doc_id AND t.text IS NOT DISTINCT FROM f.text"""
 
-ORACLES: dict[str, str] = {"op4_warc": WARC, "op8_license_scan": LICENSES}
+# all phrases of up to four words, counted as they stand
+COLLOCATIONS = f"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts)),
+grams AS (
+  SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, k
+  FROM pieces, (SELECT unnest(range(1, {LONGEST + 1})) AS k) sizes, LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)),
+counts AS (SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+found AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= {THRESHOLD}),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM found),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.w, c.a, c.cut, x.f AS l, y.f AS r, ({SCALE}::HUGEINT * c.a // (x.f + y.f))::BIGINT AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : c.cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1 : c.k], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+parts AS (
+  SELECT lang, a AS longer, array_to_string(w[i : i + m - 1], ' ') AS phrase
+  FROM found, (SELECT unnest(range(2, {LONGEST})) AS m) sizes, LATERAL (SELECT unnest(range(1, k - m + 2)) AS i) WHERE m < k),
+most AS (SELECT lang, phrase, max(longer) AS longer FROM parts GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN most m USING (lang, phrase)
+  WHERE m.longer IS NULL OR 100::HUGEINT * m.longer < {COVER_PERCENT}::HUGEINT * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l,
+  r::BIGINT AS r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= {TOP}"""
+
+ORACLES: dict[str, str] = {"op4_warc": WARC, "op8_license_scan": LICENSES, "op11_collocations": COLLOCATIONS}

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import chat, decontamination, jaccard, licenses, line_dedup, neighbours, packing, quality, quality_rules, toxicity, warc, whitening
+from shelfmark.llm import (
+    chat,
+    collocations,
+    decontamination,
+    jaccard,
+    licenses,
+    line_dedup,
+    neighbours,
+    packing,
+    quality,
+    quality_rules,
+    toxicity,
+    warc,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +65,10 @@ def op1_quality(spark, sf_dir):
     return quality.op1(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.op11(_table(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark, sf_dir):
     return quality_rules.op12(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -70,6 +88,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_format": op10_chat_format,
+    "op11_collocations": op11_collocations,
     "op12_quality_rules": op12_quality_rules,
     "op13_whitening": op13_whitening,
 }
