@@ -7,9 +7,8 @@ its n-grams divided by the threshold. What such a summary takes off a counter in
 so every frequent n-gram survives, whatever the order of merging. Words and pairs go first; of longer n-grams
 only those are summarised whose pairs survived, since no n-gram is more frequent than a part of it. Second,
 the survivors are counted exactly; a task tells them apart by 64-bit hashes, and tasks' counts are added by the
-words themselves. Survivors reach the tasks as a bit sieve of
-fixed size, which lets all survivors through and more others the more it holds; a sieve that is full costs time, not
-results.
+words themselves, in places by their hash. Survivors reach the tasks as a bit sieve of fixed size, which lets all
+survivors through and more others the more it holds; a sieve that is full costs time, not results.
 
 Scores take the cut of a phrase that binds it least; phrases that mostly occur within a longer one are dropped.
 
@@ -41,6 +40,7 @@ SLACK = 4  # how many times the least capacity a summary has: the more, the fewe
 PARTITION_BYTES = 1 << 24  # of text, for each hash partition
 STRETCH = 1 << 22  # bytes of text that are read in one go, about
 SUMMARY = 1 << 22  # n-grams that a task counts before it hands them on
+COUNT_PLACES = 4  # places of the second count for each hash partition
 KNOWN = 1 << 19  # different n-grams that a task holds in the second count before it hands them on
 SIEVE_BITS = 25  # 4 MB, whatever it holds
 WINDOW_ROWS = 50_000  # candidates of a language that are ranked in one task
@@ -229,15 +229,17 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     long = sieve_of(staged(survivors(docs, tuple(range(3, LONGEST + 1)), partitions, threshold, shared), "survivors"))
     sieve = spark.sparkContext.broadcast(short | long)
 
+    places = COUNT_PLACES * partitions
+
     def count(batches):
         known, words = word_hashes(), {}
-        held: dict[str, list] = {}  # by language: hashes in order, their counts, places of their phrases
+        held: dict[str, list] = {}  # by language: hashes in order, their counts, numbers of their phrases
         phrases: list[bytes] = []
         for lang, data in stretches(_rows(batches)):
             tokens = words_of(data)
             grams = Grams(lang, tokens, known)
             words[lang] = words.get(lang, 0) + grams.n_words
-            hashes, counts, places = held.get(lang, (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)))
+            hashes, counts, numbers = held.get(lang, (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)))
             for n in range(1, LONGEST + 1):
                 at = grams.passing(sieve.value, n)
                 own, first, often = np.unique(grams.hashes[n - 1][at], return_index=True, return_counts=True)
@@ -246,32 +248,50 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 old[old] = hashes[place[old]] == own[old]
                 counts[place[old]] += often[old]
                 fresh = at[first[~old]].tolist()
-                ids = np.arange(len(phrases), len(phrases) + len(fresh))
-                phrases += [b" ".join(tokens[i : i + n]) for i in fresh]
                 merged = np.concatenate([hashes, own[~old]])
                 order = np.argsort(merged, kind="stable")
                 hashes = merged[order]
                 counts = np.concatenate([counts, often[~old]])[order]
-                places = np.concatenate([places, ids])[order]
-            held[lang] = hashes, counts, places
+                numbers = np.concatenate([numbers, np.arange(len(phrases), len(phrases) + len(fresh))])[order]
+                phrases += [b" ".join(tokens[i : i + n]) for i in fresh]
+            held[lang] = hashes, counts, numbers
             if len(phrases) >= KNOWN:
                 yield from handed(held, phrases)
                 held, phrases = {}, []
         yield from handed(held, phrases)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(words), pa.string()), pa.array([None] * len(words), pa.string()), pa.array(list(words.values()), pa.int64())], names
-        )
+        if words:
+            langs = list(words)
+            at = [known[lang.encode("utf-8", "surrogatepass")] % places for lang in langs]
+            totals = [np.array([words[lang]], np.int64).tobytes() for lang in langs]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(langs), pa.nulls(len(at), pa.binary()), pa.array(totals)], names)
 
     def handed(held, phrases):
-        for lang, (_, counts, places) in held.items():
-            for at in range(0, len(counts), 1 << 14):
-                some = [phrases[k] for k in places[at : at + (1 << 14)].tolist()]
-                text = pa.array(some, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), text, pa.array(counts[at : at + (1 << 14)], pa.int64())], names)
-
-    names = ["lang", "phrase", "f"]
-    parts = docs.mapInArrow(count, "lang string, phrase string, f bigint")
-    return parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= threshold) | F.col("phrase").isNull())
+        """The phrases of each place as one row."""
+        for lang, (hashes, counts, numbers) in held.items():
+            if not len(hashes):
+                continue
+            place = ((hashes >> np.uint64(32)) * np.uint64(places)) >> np.uint64(32)
+            cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            ends = np.r_[cuts[1:], len(hashes)]
+            texts = [b"\n".join(map(phrases.__getitem__, numbers[a:b].tolist())) for a, b in zip(cuts, ends, strict=True)]
+            sums = [counts[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)]
+            columns = [pa.array(place[cuts].astype(np.int32)), pa.array([lang] * len(cuts)), pa.array(texts, pa.binary()), pa.array(sums, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    def added(table: pa.Table) -> pa.Table:
+        sums: dict[tuple[str, bytes | None], int] = {}
+        for lang, texts, counts in zip(table["lang"].to_pylist(), table["phrases"], table["counts"], strict=True):
+            texts = [None] if not texts.is_valid else texts.as_py().split(b"\n")
+            for phrase, n in zip(texts, np.frombuffer(counts.as_buffer(), np.int64).tolist(), strict=True):
+                sums[lang, phrase] = sums.get((lang, phrase), 0) + n
+        found = [(lang, phrase, f) for (lang, phrase), f in sums.items() if f >= threshold or phrase is None]
+        langs, texts, totals = zip(*found, strict=True) if found else ((), (), ())
+        phrases = pa.array(texts, pa.binary()).cast(pa.string())
+        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": phrases, "f": pa.array(totals, pa.int64())})
+
+    names = ["place", "lang", "phrases", "counts"]
+    parts = docs.mapInArrow(count, "place int, lang string, phrases binary, counts binary")
+    return parts.groupBy("place").applyInArrow(added, "lang string, phrase string, f bigint")
 
 
 def _wide(column: str):
