@@ -10,6 +10,39 @@ _NO_TEXTS = "array<string>"
 WHOLE = {"mode": "PERMISSIVE"}
 
 
+# Names what is put around a text. A text can only name it by the character itself or by its escape,
+# which has no letters and so one spelling.
+_MARK = "\u2063"
+_MARK_ESCAPE = "\\u2063"
+
+
+def parse_whole(text: Column, fields: str) -> Column:
+    """One parse of a text as an object with these fields, from which ``is_whole`` can tell that it was one value.
+
+    The text becomes the first element of a list in an object; a second element ends the list. What
+    follows a first value in the text then lengthens the list, breaks it, or ends it before its end.
+    """
+    wrapped = F.concat(F.lit(f'{{"{_MARK}":['), text, F.lit(f',{{"{_MARK}":0}}]}}'))
+    schema = f"`{_MARK}` ARRAY<STRUCT<{fields}, `{_MARK}` INT>>, _corrupt_record STRING"
+    return F.from_json(wrapped, schema, WHOLE)
+
+
+def is_whole(parsed: Column, text: Column) -> Column:
+    """Whether ``parse_whole`` proved the text to be one JSON value of the wanted shape throughout.
+
+    Where it is false the text may still be sound, of another shape or using the mark. Never null.
+    """
+    both = parsed[_MARK]
+    ended = (F.size(both) == 2) & F.get(both, F.lit(1))[_MARK].isNotNull()
+    named = F.contains(text, F.lit(_MARK)) | F.contains(text, F.lit(_MARK_ESCAPE))
+    return F.coalesce(parsed["_corrupt_record"].isNull() & ended & ~named, F.lit(False))
+
+
+def whole_value(parsed: Column) -> Column:
+    """The object that ``parse_whole`` read."""
+    return F.get(parsed[_MARK], F.lit(0))
+
+
 def parts_of_list(text: Column) -> Column:
     """The elements of a JSON list as raw JSON texts; NULL for anything that is not a list."""
     return F.when(F.startswith(F.ltrim(text), F.lit("[")), F.from_json(text, "array<string>"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
-from shelfmark.functions.json_text import not_json, parts_of_field, parts_of_list
+from shelfmark.functions.json_text import is_whole, not_json, parse_whole, parts_of_field, parts_of_list, whole_value
 from shelfmark.functions.names import after, linked_name
 from shelfmark.spec import CatalogSpec
 
@@ -23,37 +23,61 @@ def _odd_media_urls(content: Column) -> Column:
     return F.transform(resources, lambda resource: F.get_json_object(resource, "$.url"))
 
 
-def _media_names(parsed: Column, content: Column, spec: CatalogSpec) -> Column:
-    """Distinct file names with a linkable extension that a record's resources mention."""
-    resources = parsed["descriptiveNonRepeating"]["online_media"]["media"]["resources"]
-    urls = F.flatten(F.filter(resources, lambda found: found.isNotNull()))["url"]
-    # the branch for odd shapes parses several times, so only marked rows take it
-    urls = F.when(parsed["_corrupt_record"].isNull(), urls).otherwise(_odd_media_urls(content))
+def _media_names(urls: Column, spec: CatalogSpec) -> Column:
+    """Distinct file names with a linkable extension among resource urls."""
     names = F.transform(F.coalesce(urls, F.array().cast("array<string>")), linked_name)
     pattern = F.lit(spec.link_name_pattern)
     return F.array_distinct(F.filter(names, lambda name: F.rlike(F.lower(name), pattern)))
 
 
+def _media_urls(record: Column) -> Column:
+    """Resource urls of a record whose media have the expected shape."""
+    resources = record["descriptiveNonRepeating"]["online_media"]["media"]["resources"]
+    return F.flatten(F.filter(resources, lambda found: found.isNotNull()))["url"]
+
+
+def _record_columns(record: Column, urls: Column) -> Column:
+    """What is kept of a parsed record, as one struct."""
+    described = record["descriptiveNonRepeating"]
+    record_id = F.coalesce(record["record_id"], described["record_ID"])
+    return F.struct(
+        record_id.alias("record_id"),
+        described["unit_code"].alias("unit_code"),
+        F.coalesce(record["title"], described["title"]["content"]).alias("title"),
+        F.coalesce(record["guid"], described["guid"]).alias("guid"),
+        F.when(record_id.isNotNull(), urls).alias("urls"),
+    )
+
+
 def extract_records(metadata: DataFrame, spec: CatalogSpec) -> DataFrame:
     """The narrow record table: ids, titles, linked file names, from one parse of ``content``.
 
     ``metadata`` needs unitCode, content and filename. Result: record_id, unit_code, title, guid,
-    metadata_url, media_names (NULL without a record_id) and malformed (content is not one JSON value). Write the result before using it twice, since each use parses again.
+    metadata_url, media_names (NULL without a record_id) and malformed (content is not one JSON value). Write
+    the result before using it twice, since each use parses again.
+
+    The first parse also proves a text of the usual shape to be one value. Only where it does not is the text
+    judged by two more, and then read with its odd media part by part.
     """
-    judged = metadata.select("unitCode", "content", "filename", not_json(F.col("content")).alias("malformed"))
-    sound = F.when(~F.col("malformed"), F.col("content"))
-    record = F.from_json(sound, schemas.RECORD_CONTENT, schemas.WHOLE_SHAPE)
-    parsed = judged.select(record.alias("c"), "unitCode", "content", "filename", "malformed")
-    c, content = F.col("c"), F.col("content")
-    described = c["descriptiveNonRepeating"]
-    record_id = F.coalesce(c["record_id"], described["record_ID"])
-    return parsed.select(
-        record_id.alias("record_id"),
-        F.coalesce("unitCode", described["unit_code"]).alias("unit_code"),
-        F.coalesce(c["title"], described["title"]["content"]).alias("title"),
-        F.coalesce(c["guid"], described["guid"]).alias("guid"),
+    content = F.col("content")
+    once = metadata.select("unitCode", "content", "filename", parse_whole(content, schemas.RECORD_FIELDS).alias("once"))
+    judged = once.select("*", is_whole(F.col("once"), content).alias("whole"))
+    doubtful = F.when(~F.col("whole"), content)
+    judged = judged.select("*", F.coalesce(not_json(doubtful), F.lit(False)).alias("malformed"))
+    sound = F.when(~F.col("whole") & ~F.col("malformed"), content)
+    again = judged.select("*", F.from_json(sound, schemas.RECORD_CONTENT, schemas.WHOLE_SHAPE).alias("again"))
+    value, second = whole_value(F.col("once")), F.col("again")
+    # the branch for odd shapes parses several times, so only marked rows take it
+    odd = F.when(second["_corrupt_record"].isNull(), _media_urls(second)).otherwise(_odd_media_urls(content))
+    record = F.when(F.col("whole"), _record_columns(value, _media_urls(value))).otherwise(_record_columns(second, odd))
+    found = again.select("unitCode", "filename", "malformed", record.alias("r"))
+    return found.select(
+        "r.record_id",
+        F.coalesce("unitCode", "r.unit_code").alias("unit_code"),
+        "r.title",
+        "r.guid",
         F.concat(F.lit(spec.records_url), after(F.col("filename"), spec.records_source)).alias("metadata_url"),
-        F.when(record_id.isNotNull(), _media_names(c, content, spec)).alias("media_names"),
+        F.when(F.col("r.record_id").isNotNull(), _media_names(F.col("r.urls"), spec)).alias("media_names"),
         "malformed",
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shelfmark import schemas
 from shelfmark.errors import RecordError
-from shelfmark.functions.json_text import not_json
+from shelfmark.functions.json_text import is_whole, not_json, parse_whole, whole_value
 from shelfmark.functions.names import source_path
 from shelfmark.sources.tables import drop_table, literal_paths, scratch_path, stage
 
@@ -26,13 +26,20 @@ def read_records_tolerantly(spark: SparkSession, paths: Sequence[str]) -> DataFr
     A line that is not exactly one JSON object of the declared types becomes a row that holds it in
     ``_corrupt_record``. Lines are read as text, because the JSON reader drops what follows a value.
     """
-    schema = T.StructType([*schemas.RECORD_LINES.fields, T.StructField(BAD_LINE, T.StringType())])
+    declared = schemas.RECORD_LINES.fields
     lines = spark.read.text(literal_paths(paths)).where(F.trim("value") != "")
-    record = F.from_json("value", schema, schemas.WHOLE_SHAPE)
-    parsed = lines.select(record.alias("record"), "value", source_path().alias("filename"))
-    fields = [F.col(f"record.`{f.name}`") for f in schemas.RECORD_LINES.fields]
-    fault = F.col(f"record.{BAD_LINE}").isNotNull() | not_json(F.col("value"))
-    return parsed.select(*fields, F.when(fault, F.col("value")).alias(BAD_LINE), "filename")
+    line = F.col("value")
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in declared)
+    once = lines.select("value", source_path().alias("filename"), parse_whole(line, names).alias("once"))
+    judged = once.select("*", is_whole(F.col("once"), line).alias("whole"))
+    # a second parse, and two that judge, only where the first proves nothing
+    schema = T.StructType([*declared, T.StructField(BAD_LINE, T.StringType())])
+    doubtful = F.when(~F.col("whole"), line)
+    again = judged.select("*", F.from_json(doubtful, schema, schemas.WHOLE_SHAPE).alias("again"))
+    fault = F.col(f"again.{BAD_LINE}").isNotNull() | not_json(doubtful)
+    value = whole_value(F.col("once"))
+    fields = [F.when(F.col("whole"), value[f.name]).otherwise(F.col(f"again.`{f.name}`")).alias(f.name) for f in declared]
+    return again.select(*fields, F.when(fault, line).alias(BAD_LINE), "filename")
 
 
 def read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

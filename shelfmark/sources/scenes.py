@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.errors import SceneError
-from shelfmark.functions.json_text import not_json
+from shelfmark.functions.json_text import is_whole, not_json, parse_whole, whole_value
 from shelfmark.functions.names import source_path
 from shelfmark.sources.tables import literal_paths, stage
 from shelfmark.spec import CatalogSpec
@@ -25,13 +25,14 @@ def read_scenes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     empty file gives no row.
     """
     texts = spark.read.text(literal_paths(paths), wholetext=True).where(F.trim("value") != "")
-    parsed = texts.select(
-        source_path().alias("filename"), "value", F.from_json("value", schemas.SCENE_FILE, schemas.WHOLE_SHAPE).alias("scene")
-    )
-    bad = F.col("scene._corrupt_record").isNotNull() | not_json(F.col("value"))
-    return parsed.select(
-        "filename", F.when(~bad, F.col("scene.metas")).alias("metas"), F.when(bad, F.col("value")).alias("problem")
-    )
+    text = F.col("value")
+    once = texts.select(source_path().alias("filename"), "value", parse_whole(text, "metas STRING").alias("once"))
+    judged = once.select("*", is_whole(F.col("once"), text).alias("whole"))
+    doubtful = F.when(~F.col("whole"), text)
+    again = judged.select("*", F.from_json(doubtful, schemas.SCENE_FILE, schemas.WHOLE_SHAPE).alias("again"))
+    bad = F.coalesce(F.col("again._corrupt_record").isNotNull() | not_json(doubtful), F.lit(False))
+    metas = F.when(F.col("whole"), whole_value(F.col("once"))["metas"]).otherwise(F.col("again.metas"))
+    return again.select("filename", F.when(~bad, metas).alias("metas"), F.when(bad, text).alias("problem"))
 
 
 def check_scenes(scenes: DataFrame, files: int, spec: CatalogSpec) -> DataFrame:
