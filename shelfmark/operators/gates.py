@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.errors import GateError
 from shelfmark.operators.order_audit import order_audit
+from shelfmark.operators.table_audit import table_numbers
 from shelfmark.schemas import OUTPUTS, Output
 from shelfmark.spec import CatalogSpec
 
@@ -54,9 +55,10 @@ def drift_gate(df: DataFrame, previous: DataFrame | None, name: str, max_drop_pe
     return _rows(both, _gate(f"{name} rows", enough, F.col("n"), " rows, before ", F.col("before")))
 
 
-def _unique(name: str, empty_allowed: bool) -> Column:
+def _unique(name: str, empty_allowed: bool, *numbers: Column) -> Column:
     """Uniqueness verdict from the ``rows``, ``values``, ``nulls`` and ``blanks`` of a key."""
-    duplicates, nulls, blanks = F.col("rows") - F.col("values"), F.col("nulls"), F.col("blanks")
+    rows, values, nulls, blanks = numbers or map(F.col, ("rows", "values", "nulls", "blanks"))
+    duplicates = rows - values
     ok = (duplicates == 0) & (nulls == 0) & (F.lit(empty_allowed) | (blanks == 0))
     return _gate(name, ok, "repeated ", duplicates, ", null ", nulls, ", empty ", blanks)
 
@@ -185,9 +187,46 @@ def gate_report(
     spec: CatalogSpec,
     previous: Mapping[str, DataFrame | None] | None = None,
 ) -> DataFrame:
-    """The full report on stored tables, as rows ``(name, ok, detail)``."""
-    ordered = [sorted_gate(stored[o.name], o) for o in OUTPUTS]
-    return reduce(DataFrame.union, [table_gates(stored, spec, previous), *ordered])
+    """The full report on stored tables, as rows ``(name, ok, detail)``; each stored table is scanned once."""
+    previous = previous or {}
+    known = {name: table for name, table in previous.items() if table is not None}
+    numbers = table_numbers(stored, spec)
+    before = [table.agg(F.count(F.lit(1)).alias(f"{name}_before")) for name, table in known.items()]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [numbers, *before])
+    numbers = both.agg(*(F.sum(c).alias(c) for c in both.columns)) if before else numbers
+    n = {c: F.col(c) for c in numbers.columns}
+
+    def none_of(column: str, name: str, what: str) -> Column:
+        return _gate(name, n[column] == 0, n[column], what)
+
+    def drift(output: Output, rows: Column) -> Column:
+        if output.name not in known:
+            return _gate(f"{output.name} rows", rows > 0, rows, " rows, the first release")
+        earlier = n[f"{output.name}_before"]
+        enough = rows >= F.lit(1 - spec.max_drop_percent / 100) * earlier
+        return _gate(f"{output.name} rows", enough, rows, " rows, before ", earlier)
+
+    def unique(key: str, name: str, empty_allowed: bool) -> Column:
+        return _unique(name, empty_allowed, *(n[f"{key}_{c}"] for c in ("rows", "values", "nulls", "blanks")))
+
+    rows = {"files": n["url_rows"], "metadata": n["record_id_rows"], "linkages": n["url_referring"]}
+    gates = [drift(o, rows[o.name]) for o in OUTPUTS]
+    gates += [
+        unique("url", "files url unique", empty_allowed=True),
+        none_of("file_bad", "files url prefix", f" not under {spec.base_url}"),
+        none_of("negative", "files size", " sizes below zero"),
+        _gate("linkages filled", n["url_referring"] > 0, n["url_referring"], " rows"),
+        none_of("url_orphans", "linkages url found", " rows refer to no url"),
+        none_of("link_bad", "linkages url prefix", f" not under {spec.base_url}"),
+        unique("record_id", "metadata record_id unique", empty_allowed=False),
+        none_of("record_bad", "metadata url prefix", f" not under {spec.records_url}"),
+        none_of("record_id_orphans", "linkages record_id found", " rows refer to no record_id"),
+    ]
+    gates += [
+        none_of(f"{o.name}_fallen", f"{o.name} sorted", f" falls in the order of {', '.join(o.sort)}") for o in OUTPUTS
+    ]
+    schemas = [schema_gate(stored[o.name], o) for o in OUTPUTS]
+    return reduce(DataFrame.union, [*schemas, _rows(numbers, *gates)])
 
 
 def enforce(report: DataFrame) -> list:

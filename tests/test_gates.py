@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.errors import GateError
-from shelfmark.operators import gates
+from shelfmark.operators import gates, table_audit
 from shelfmark.sinks.tables import read_catalog, write_catalog
 
 
@@ -38,6 +38,48 @@ def test_a_clean_stored_catalog_passes_every_gate(spark, spec, tmp_path):
     assert len({g["name"] for g in passed}) == 18
 
 
+def stored_anyhow(spark, tables, root, files):
+    """Tables written with faults and all, in part files of random rows."""
+    for output in schemas.OUTPUTS:
+        tables[output.name].repartition(files).write.parquet(f"{root}/{output.file}")
+    return read_catalog(spark, root)
+
+
+@pytest.mark.parametrize("bucket", [1, 2, 1000])
+def test_one_scan_gives_the_same_verdicts(spark, spec, tmp_path, monkeypatch, bucket):
+    monkeypatch.setattr(table_audit, "FILES_PER_BUCKET", bucket)
+    tables = extra(spark, spec, "linkages", ("https://else.example/a", "w_nobody"), (None, None), (None, "w_1"))
+    tables["files"] = tables["files"].union(tables["files"].limit(2)).union(
+        spark.createDataFrame([(None, -1), (None, 2), ("", 3)], "url string, size long").withColumn("t", F.lit("2026-01-01").cast("timestamp_ntz"))
+    )
+    tables["metadata"] = tables["metadata"].union(tables["metadata"].limit(1)).union(
+        spark.createDataFrame([(None, None, "t", None, "else"), ("", "", None, None, None)], schemas.METADATA.schema)
+    )
+    stored = stored_anyhow(spark, tables, f"{tmp_path}/c", 5)
+    before = {"files": spark.range(3), "linkages": None, "metadata": spark.range(400)}
+    report = gates.gate_report(stored, spec, before)
+    plain = gates.table_gates(stored, spec, before)
+    for output in schemas.OUTPUTS:
+        plain = plain.union(gates.sorted_gate(stored[output.name], output))
+    found = sorted(map(tuple, report.collect()))
+    assert found == sorted(map(tuple, plain.collect()))
+    assert sum(not ok and name.endswith("sorted") for name, ok, _ in found) >= 2
+
+
+def test_each_stored_table_is_scanned_once(spark, spec, tmp_path):
+    write_catalog(frames(spark, spec), f"{tmp_path}/c")
+    report = gates.gate_report(read_catalog(spark, f"{tmp_path}/c"), spec)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == len(schemas.OUTPUTS)
+    assert gates.enforce(report)
+
+
+def test_empty_stored_tables_fail(spark, spec, tmp_path):
+    write_catalog(frames(spark, spec, [], [], []), f"{tmp_path}/c")
+    found = failed(gates.gate_report(read_catalog(spark, f"{tmp_path}/c"), spec))
+    assert set(found) == {"files rows", "metadata rows", "linkages rows", "linkages filled"}
+
+
 @pytest.mark.parametrize(
     ("name", "row", "gate", "detail"),
     [
