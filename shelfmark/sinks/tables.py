@@ -5,16 +5,17 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.errors import PublishError
+from shelfmark.errors import ListingError, PublishError
 from shelfmark.operators.gates import enforce, gate_report
-from shelfmark.operators.listing import check_coverage, check_not_shrunken
+from shelfmark.operators.listing import check_coverage, check_not_shrunken, check_repeats, check_unique
 from shelfmark.operators.order_audit import order_audit
 from shelfmark.operators.ranges import KeyRanges
 from shelfmark.schemas import OUTPUTS, PUBLISH_ORDER, Output
-from shelfmark.sources.tables import path_exists
+from shelfmark.sinks.ordered_copy import content_metrics, contents, copy_loose, observed_contents, settle
+from shelfmark.sources.tables import drop_path, path_exists
 from shelfmark.spec import CatalogSpec
 
 logger = logging.getLogger(__name__)
@@ -53,11 +54,30 @@ def write_segments(listing: DataFrame, path: str) -> DataFrame:
 def merge_listing(
     shards: DataFrame, ranges: KeyRanges, spec: CatalogSpec, path: str, previous_rows: int | None = None
 ) -> int:
-    """Audit a segmented listing and write it as one table sorted by key; returns its rows."""
-    keys = check_coverage(shards, ranges, spec)["keys"]
+    """Audit a segmented listing and write it as one table sorted by key; returns its rows.
+
+    ``shards`` is read straight from what ``write_segments`` stored. Its files are sorted and cut by key, so they
+    are put one after the other: no row is sorted or shuffled again, and a key that is there twice is next to itself.
+    Only files that overlap, because a segment was written in several goes, are sorted.
+    """
+    spark = shards.sparkSession
+    keys = check_coverage(shards, ranges, spec, unique=False)["keys"]
     if previous_rows is not None:
         check_not_shrunken(keys, previous_rows, spec)
-    write_sorted(shards.select("key", "size", "last_modified", "etag"), path, ("key",))
+    rows = shards.select("key", "size", "last_modified", "etag")
+    copy = copy_loose(rows, path, ("key",), {"compression": "zstd"})
+    if copy.falls:
+        drop_path(spark, copy.loose)
+        check_unique(rows)
+        write_sorted(rows, path, ("key",))
+        return keys
+    try:
+        check_repeats(copy.repeats)
+        if copy.source != copy.stored:
+            raise ListingError(f"{path} does not hold the listed rows: {copy.stored} and {copy.source}")
+        settle(spark, copy, path)
+    finally:
+        drop_path(spark, copy.loose)
     return keys
 
 
@@ -92,28 +112,32 @@ def publish(
     """Validate the staged catalog again, then store its tables under ``target`` in publish order.
 
     ``target`` is a new folder for each release, so readers of an earlier release are not disturbed.
-    Each stored table is compared with the staged one before the next is written: rows, order, schema
-    and a hash sum of all values. A table that is there already, because an earlier run broke off
-    later, is compared likewise and kept; one that differs is an error and never overwritten. Only a
-    table whose write was not completed is written anew. Strong compression is paid for here only,
-    once, after all gates passed.
+    The staged tables are sorted, so their part files are compressed anew one by one, without a sort. Each
+    stored table is compared with the staged one before the next is written: rows, order, schema
+    and a hash sum of all values, which the write and one scan of the result observe. A table that is there
+    already, because an earlier run broke off later, is compared likewise and kept; one that differs is an error
+    and never overwritten. Only a table whose write was not completed is written anew. Strong compression is paid for
+    here only, once, after all gates passed.
     """
     tables = read_catalog(spark, staged)
     enforce(gate_report(tables, spec, previous))
+    options = {"compression": "zstd", "parquet.compression.codec.zstd.level": str(level)}
     counts = {}
     for output in PUBLISH_ORDER:
         path, table = table_path(target, output), tables[output.name]
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            write_sorted(table, path, output.sort, level)
-        stored = spark.read.parquet(path)
-        rows, fallen = order_audit(stored, output.sort).first()
-        if fallen or stored.schema != table.schema or contents(stored) != contents(table):
+        if path_exists(spark, f"{path}/_SUCCESS"):
+            stored = spark.read.parquet(path)
+            observed = Observation()
+            rows, fallen = order_audit(stored, output.sort, (observed, content_metrics(stored))).first()
+            held = observed_contents(observed) if rows else contents(stored)  # without rows nothing may be observed
+            same = stored.schema == table.schema and not fallen and held == contents(table)
+        else:
+            copy = copy_loose(table, path, output.sort, options)
+            rows, fallen, same = copy.rows, copy.falls, copy.faithful
+            if same:
+                settle(spark, copy, path)
+        if not same:
             raise PublishError(f"{path} does not hold the staged table: {rows} rows, {fallen} falls in order")
         counts[output.file] = rows
         logger.info("published %s: %d rows", path, rows)
     return counts
-
-
-def contents(df: DataFrame) -> tuple:
-    """Number of rows and a sum of their hashes."""
-    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())
