@@ -38,6 +38,22 @@ def is_whole(parsed: Column, text: Column) -> Column:
     return F.coalesce(parsed["_corrupt_record"].isNull() & ended & ~named, F.lit(False))
 
 
+def as_variant(text: Column) -> Column:
+    """One parse of a text of any shape, as the first of two elements; null if it breaks their list or repeats a name."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_MARK}"]')))
+
+
+def is_one_value(parsed: Column, text: Column) -> Column:
+    """Whether ``as_variant`` proved the text to be one JSON value; where it is false the text may still be. Never null."""
+    named = F.contains(text, F.lit(_MARK)) | F.contains(text, F.lit(_MARK_ESCAPE))
+    return F.coalesce((F.try_variant_get(parsed, "$[1]", "string") == F.lit(_MARK)) & ~named, F.lit(False))
+
+
+def field_of(parsed: Column, path: str, kind: str = "string") -> Column:
+    """A field of what ``as_variant`` read; null where there is none or, at any depth, none of that kind."""
+    return F.try_variant_get(parsed, f"$[0].{path}", kind)
+
+
 def whole_value(parsed: Column) -> Column:
     """The object that ``parse_whole`` read."""
     return F.get(parsed[_MARK], F.lit(0))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
-from shelfmark.functions.json_text import is_whole, not_json, parse_whole, parts_of_field, parts_of_list, whole_value
+from shelfmark.functions.json_text import as_variant, field_of, is_one_value, not_json, parts_of_field, parts_of_list
 from shelfmark.functions.names import after, linked_name
 from shelfmark.spec import CatalogSpec
 
@@ -30,23 +30,41 @@ def _media_names(urls: Column, spec: CatalogSpec) -> Column:
     return F.array_distinct(F.filter(names, lambda name: F.rlike(F.lower(name), pattern)))
 
 
-def _media_urls(record: Column) -> Column:
-    """Resource urls of a record whose media have the expected shape."""
-    resources = record["descriptiveNonRepeating"]["online_media"]["media"]["resources"]
+def _flat_urls(resources: Column) -> Column:
     return F.flatten(F.filter(resources, lambda found: found.isNotNull()))["url"]
 
 
-def _record_columns(record: Column, urls: Column) -> Column:
-    """What is kept of a parsed record, as one struct."""
-    described = record["descriptiveNonRepeating"]
-    record_id = F.coalesce(record["record_id"], described["record_ID"])
+def _columns_of(record_id: Column, unit_code: Column, title: Column, guid: Column, urls: Column) -> Column:
+    """What is kept of a record, as one struct."""
     return F.struct(
-        record_id.alias("record_id"),
-        described["unit_code"].alias("unit_code"),
-        F.coalesce(record["title"], described["title"]["content"]).alias("title"),
-        F.coalesce(record["guid"], described["guid"]).alias("guid"),
+        record_id.alias("record_id"), unit_code.alias("unit_code"), title.alias("title"), guid.alias("guid"),
         F.when(record_id.isNotNull(), urls).alias("urls"),
-    )
+    )
+
+
+def _from_variant(parsed: Column) -> Column:
+    """The columns of a record in a Variant; parts of odd shape give nothing, the others are kept."""
+
+    def field(name: str, nested: str) -> Column:
+        return F.coalesce(field_of(parsed, name), field_of(parsed, f"descriptiveNonRepeating.{nested}"))
+
+    media = field_of(parsed, "descriptiveNonRepeating.online_media.media", schemas.MEDIA_SHAPE)
+    return _columns_of(
+        field("record_id", "record_ID"), field_of(parsed, "descriptiveNonRepeating.unit_code"), field("title", "title.content"),
+        field("guid", "guid"), _flat_urls(media["resources"]),
+    )
+
+
+def _from_struct(record: Column, content: Column) -> Column:
+    """The columns of a record that ``from_json`` read."""
+    described = record["descriptiveNonRepeating"]
+    urls = _flat_urls(described["online_media"]["media"]["resources"])
+    # odd shapes are read part by part
+    urls = F.when(record["_corrupt_record"].isNull(), urls).otherwise(_odd_media_urls(content))
+    return _columns_of(
+        F.coalesce(record["record_id"], described["record_ID"]), described["unit_code"],
+        F.coalesce(record["title"], described["title"]["content"]), F.coalesce(record["guid"], described["guid"]), urls,
+    )
 
 
 def extract_records(metadata: DataFrame, spec: CatalogSpec) -> DataFrame:
@@ -56,20 +74,17 @@ def extract_records(metadata: DataFrame, spec: CatalogSpec) -> DataFrame:
     metadata_url, media_names (NULL without a record_id) and malformed (content is not one JSON value). Write
     the result before using it twice, since each use parses again.
 
-    The first parse also proves a text of the usual shape to be one value. Only where it does not is the text
-    judged by two more, and then read with its odd media part by part.
+    The one parse, into a Variant, also proves a text to be one value, and its media may have any shape. Only texts
+    that it refuses, which are faulty or repeat a name, are judged by two more parses and read by another.
     """
     content = F.col("content")
-    once = metadata.select("unitCode", "content", "filename", parse_whole(content, schemas.RECORD_FIELDS).alias("once"))
-    judged = once.select("*", is_whole(F.col("once"), content).alias("whole"))
+    once = metadata.select("unitCode", "content", "filename", as_variant(content).alias("once"))
+    judged = once.select("*", is_one_value(F.col("once"), content).alias("whole"))
     doubtful = F.when(~F.col("whole"), content)
     judged = judged.select("*", F.coalesce(not_json(doubtful), F.lit(False)).alias("malformed"))
     sound = F.when(~F.col("whole") & ~F.col("malformed"), content)
     again = judged.select("*", F.from_json(sound, schemas.RECORD_CONTENT, schemas.WHOLE_SHAPE).alias("again"))
-    value, second = whole_value(F.col("once")), F.col("again")
-    # the branch for odd shapes parses several times, so only marked rows take it
-    odd = F.when(second["_corrupt_record"].isNull(), _media_urls(second)).otherwise(_odd_media_urls(content))
-    record = F.when(F.col("whole"), _record_columns(value, _media_urls(value))).otherwise(_record_columns(second, odd))
+    record = F.when(F.col("whole"), _from_variant(F.col("once"))).otherwise(_from_struct(F.col("again"), sound))
     found = again.select("unitCode", "filename", "malformed", record.alias("r"))
     return found.select(
         "r.record_id",

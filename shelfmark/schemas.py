@@ -38,13 +38,15 @@ RECORD_LINES = T.StructType(
 
 # The few fields of a record's JSON text that are ever read. A text that does not have this shape
 # throughout is marked by the parser in _corrupt_record, and its media are then read part by part.
-RECORD_FIELDS = """
+MEDIA_SHAPE = "ARRAY<STRUCT<resources: ARRAY<STRUCT<url: STRING>>>>"
+RECORD_CONTENT = f"""
     record_id STRING, title STRING, guid STRING,
     descriptiveNonRepeating STRUCT<
         record_ID: STRING, unit_code: STRING, guid: STRING,
         title: STRUCT<content: STRING>,
-        online_media: STRUCT<media: ARRAY<STRUCT<resources: ARRAY<STRUCT<url: STRING>>>>>>"""
-RECORD_CONTENT = f"{RECORD_FIELDS}, _corrupt_record STRING"
+        online_media: STRUCT<media: {MEDIA_SHAPE}>>,
+    _corrupt_record STRING
+"""
 # Options for parsing with _corrupt_record. Stating the default mode keeps the optimizer from
 # narrowing the schema to the fields in use, which would leave other fields' faults unnoticed.
 WHOLE_SHAPE = {"mode": "PERMISSIVE"}

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from shelfmark.functions import json_text
-from shelfmark.functions.json_text import is_whole, not_json, parse_whole, whole_value
+from shelfmark.functions.json_text import as_variant, field_of, is_one_value, is_whole, not_json, parse_whole, whole_value
 
 FIELDS = "record_id STRING, n STRUCT<a: STRING>"
 MARK = json_text._MARK
@@ -16,6 +16,7 @@ PIECES = [
     f'"{MARK}":0', f'{{"{MARK}":0}}', f'],"{MARK}":[', f'{{"{ESCAPED}":0}}', f'],"{ESCAPED}":[', "]}", '}],"x":[{', '},"x":{"y":1', "//", "\\",
 ]
 SMUGGLED = [
+    f'{{"record_id":"a"}},"{MARK}"],[1', f'{{"record_id":"a"}},"{ESCAPED}"]',
     f'{{"record_id":"a"}}],"{MARK}":[{{"record_id":"b"}}',
     f'{{"record_id":"a"}}],"{ESCAPED}":[{{"record_id":"b"}}',
     f'{{"record_id":"a"}},{{"{MARK}":0}}]}}',
@@ -32,6 +33,15 @@ ODD = ["7", '"text"', "[1]", '{"n":3}', f'{{"record_id":"{MARK}"}}']
 def judged(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     once = rows.select("*", parse_whole(F.col("text"), FIELDS).alias("once"))
+    once = once.withColumn("variant", as_variant(F.col("text")))
+    # both ways to parse once must agree wherever they claim something
+    one, whole = is_one_value(F.col("variant"), F.col("text")), is_whole(F.col("once"), F.col("text"))
+    for r in once.select("text", one.alias("one"), whole.alias("whole"), not_json(F.col("text")).alias("bad"),
+                         field_of(F.col("variant"), "record_id").alias("a"), whole_value(F.col("once"))["record_id"].alias("b")).collect():
+        assert not (r.one and r.bad), r.text
+        assert not (r.one and r.whole) or r.a == r.b, r.text
+        if r.one:
+            json.loads(r.text)
     found = once.select("i", is_whole(F.col("once"), F.col("text")).alias("whole"), not_json(F.col("text")).alias("bad"),
                         whole_value(F.col("once"))["record_id"].alias("record_id"))
     return [(texts[r.i], r.whole, r.bad, r.record_id) for r in found.orderBy("i").collect()]

@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,10 +84,18 @@ def test_texts_that_are_not_json_are_marked(spark, spec, content, malformed):
 
 
 def test_content_is_parsed_once(spark, spec, tmp_path):
+    """Sound texts: the other parses stand behind the verdict of the first."""
     metadata(spark, spec, with_media([])).write.parquet(f"{tmp_path}/m")
     found = records.extract_records(spark.read.parquet(f"{tmp_path}/m"), spec)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json(StructField(record_id") == 1
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("parse_?json", plan, re.IGNORECASE)) == 1
+    assert "CASE WHEN NOT whole" in plan and plan.count("from_json(StructField(record_id") == 1
+
+
+def test_repeated_names_take_the_last(spark, spec):
+    text = '{"record_id":"a","title":"one","title":"two","descriptiveNonRepeating":{"online_media":{"media":[7,{"resources":[{"url":"x?id=a.jpg"}]}]}}}'
+    row = extracted(spark, spec, text)
+    assert (row["record_id"], row["title"], row["media_names"], row["malformed"]) == ("a", "two", ["a.jpg"], False)
 
 
 def test_keep_one_takes_the_first_with_nulls_last(spark):
