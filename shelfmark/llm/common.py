@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.sources.tables import scratch_path
+from shelfmark.sources.tables import drop_table, scratch_path
 from shelfmark.sources.tables import stage as stage_at
 
 # A key that holds more than 1/HOT of all rows is hot; there are at most HOT such keys, which bounds
@@ -93,7 +93,9 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        edges = staged(small.where("a <> b").distinct(), "links")
+        spent, edges = (edges, large), staged(small.where("a <> b").distinct(), "links")
+        for table in spent:  # a round needs the one before it only
+            drop_table(table)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

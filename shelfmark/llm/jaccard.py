@@ -2,8 +2,9 @@
 
 A document's set holds hashes of its word n-grams in one global order, that of the hash. Candidates
 come from runs of that order: two sets that are similar enough differ in so few n-grams that, cut into
-more runs than that, they agree in at least one whole run. Only sets that share the hash of a whole run
-can be linked; they form clusters. Within a cluster the sets are stored in a trie, ordered by how common
+more runs than that, they agree in at least one whole run. Runs are ordered by how many documents have them, and
+each set leaves out its most common ones, as many as it has more than needed. Only sets that share the hash of a
+run that both keep can be linked; they form clusters. Within a cluster the sets are stored in a trie, ordered by how common
 an n-gram is among their differences from the usual set; each set walks it once, so that sets with a common beginning share the counting of their overlap, and
 a subtree is left as soon as what remains cannot reach the overlap needed, or when all of it is
 already connected to the walking set. Clusters beyond ``CELL`` n-grams are cut into chunks, each
@@ -26,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import Memo, components, join_counted, maybe_in, sketch, staged
+from shelfmark.sources.tables import drop_table
 
 N = 3
 PERCENT = 90
 SLACK = 3  # more runs than needed, so that sets with an empty run still agree in a full one
-CELL = 3_000_000  # n-grams that one trie holds, about; two such chunks meet in one cell
+SPARE = 4  # and one more for so many, so that sets can leave out the most common ones
+CELL = 1_000_000  # n-grams that one trie holds, about; two such chunks meet in one cell
 BUNDLE = 256  # sets of a branch that is not split further
 SET_WEIGHT = 1_000  # n-grams that a set counts for besides its own, since sets are compared in pairs
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -63,14 +66,19 @@ def shingles(text: str | None, n: int, memo: Memo) -> np.ndarray:
 def runs(size: int, percent: int) -> tuple[int, int]:
     """For sets of at most ``size`` n-grams: in how many they can differ, and the number of runs."""
     differ = 2 * size * (100 - percent) // (100 + percent)
-    return differ, differ + 1 + SLACK
+    return differ, differ + 1 + SLACK + differ // SPARE
 
 
-def run_keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the whole runs of a set, for its own size class and the next if a partner may be there."""
-    largest = 100 * len(s) // percent
+def run_keys(s: np.ndarray, percent: int) -> tuple[np.ndarray, list[int]]:
+    """Hashes of the whole runs of a set, for its own size class and the next if a partner may be there.
+
+    The last bit of a key is that of its size class. The numbers tell for either bit how many keys a set may leave
+    out, if all sets leave out their last ones in the same order of keys, and still agree with each partner in one:
+    a partner differs in so many runs at most, so it agrees in all others that are full.
+    """
+    largest, spare = 100 * len(s) // percent, [0, 0]
     if (len(s) + largest) * (100 - percent) // (100 + percent) < 1:
-        return np.zeros(0, np.int64)  # such a small set is linked with equal ones only
+        return np.zeros(0, np.int64), spare  # such a small set is linked with equal ones only
     keys, scrambled = [], mixed(s)
     for size_class in {len(s).bit_length(), largest.bit_length()}:
         differ, m = runs((1 << size_class) - 1, percent)
@@ -80,8 +88,11 @@ def run_keys(s: np.ndarray, percent: int) -> np.ndarray:
         if len(names) <= differ:  # too few full runs to be sure of one: empty ones count as well
             empty = np.setdiff1d(np.arange(m, dtype=np.uint64), names)
             names, sums = np.r_[names, empty], np.r_[sums, np.zeros(len(empty), np.uint64)]
-        keys.append(mixed(sums * MIX + mixed(names + np.uint64(size_class << 32))))
-    return np.concatenate(keys).view(np.int64)
+        else:
+            spare[size_class & 1] = len(names) - differ - 1
+        h = mixed(sums * MIX + mixed(names + np.uint64(size_class << 32)))
+        keys.append((h & ~np.uint64(1)) | np.uint64(size_class & 1))
+    return np.concatenate(keys).view(np.int64), spare
 
 
 def _set_id(s: np.ndarray) -> int:
@@ -89,22 +100,24 @@ def _set_id(s: np.ndarray) -> int:
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``(doc_id, text_hash, n_shingles, set_id, keys)`` of every document; set_id is null for empty sets."""
+    """``(doc_id, text_hash, n_shingles, set_id, keys, spare)`` of every document; set_id is null for empty sets."""
 
     def sets(batches):
         memo = word_hashes()
         for batch in batches:
-            sizes, ids, keys = [], [], []
+            sizes, ids, keys, spares = [], [], [], []
             for text in batch.column("text"):
                 s = shingles(text.as_py(), n, memo)
                 sizes.append(len(s))
                 ids.append(_set_id(s) if len(s) else None)
-                keys.append(run_keys(s, percent))
+                found, spare = run_keys(s, percent)
+                keys.append(found)
+                spares.append(spare)
             columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64())]
-            columns += [pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "set_id", "keys"])
+            columns += [pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(spares, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "set_id", "keys", "spare"])
 
-    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id bigint, keys array<bigint>"
+    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id bigint, keys array<bigint>, spare array<int>"
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sets, schema)
 
 
@@ -209,8 +222,9 @@ class Trie:
                 both = (total - (own + self.differ[below] - 2 * shared)) // 2
                 linked = (100 * both >= percent * (total - both)) & (below > i) & (left[i] | left[below])
                 for j in below[linked & (labels[below] != labels[i])].tolist():
-                    labels[labels == labels[j]] = labels[i]
-                    changes = np.r_[0, np.cumsum(labels[1:] != labels[:-1])]
+                    if labels[j] != labels[i]:
+                        labels[labels == labels[j]] = labels[i]
+                        changes = np.r_[0, np.cumsum(labels[1:] != labels[:-1])]
             mine[x] = False
         after = np.empty_like(labels)
         after[self.order] = labels
@@ -243,14 +257,30 @@ def _cell_join(n: int, percent: int):
 
 
 def _clusters(sets: DataFrame) -> DataFrame:
-    """``(node, root)``: sets that agree in a whole run with another set, directly or in steps."""
-    rows = sets.where(F.size("keys") > 0).select("set_id", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"), F.count("*").alias("n"))
-    shared = staged(shared.where("hub < last").select("key", "hub", "n"), "shared-runs")
+    """``(node, root)``: sets that agree with another set in a whole run that both keep, directly or in steps.
+
+    In one global order, by how many documents have a run, every set leaves out its last runs, as many as it may
+    spare: those of common lines and passages, which would chain unlike sets.
+    """
+    rows = sets.where(F.size("keys") > 0).select("set_id", "spare", F.explode("keys").alias("key"))
+    rows = rows.select("set_id", "key", F.get("spare", F.col("key").bitwiseAND(F.lit(1)).cast("int")).alias("spare"))
+    shared = rows.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.count("*").alias("n"))
+    shared = staged(shared.where("low < high").select("key", "n"), "shared-runs")
     total = sets.agg(F.sum(F.size("keys"))).first()[0] or 0
     some = maybe_in(rows, sketch(shared, "key"), "key")
-    edges = join_counted(some, shared, "key", "n", total).where("hub IS NOT NULL AND hub <> set_id")
-    return components(edges.select(F.col("set_id").alias("a"), F.col("hub").alias("b")))
+    common = join_counted(some, shared, "key", "n", total).where("n IS NOT NULL")
+    listed = common.groupBy("set_id", F.col("key").bitwiseAND(F.lit(1)).alias("bit")).agg(
+        F.sort_array(F.collect_set(F.struct("n", "key"))).alias("runs"), F.max("spare").alias("spare")
+    )
+    kept = F.expr("slice(runs, 1, greatest(size(runs) - spare, 0))")
+    kept = staged(listed.select("set_id", F.explode(kept).alias("run")).select("set_id", "run.key", "run.n"), "kept-runs")
+    hubs = kept.groupBy("key").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"), F.count("*").alias("n"))
+    hubs = staged(hubs.where("hub < last").select("key", "hub", "n"), "hubs")
+    edges = join_counted(kept.drop("n"), hubs, "key", "n", kept.count()).where("hub IS NOT NULL AND hub <> set_id")
+    found = components(edges.select(F.col("set_id").alias("a"), F.col("hub").alias("b")))
+    for spent in (shared, kept, hubs):
+        drop_table(spent)
+    return found
 
 
 def _with_text(cells: DataFrame, docs: DataFrame) -> DataFrame:
@@ -310,7 +340,7 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, cell
     known = staged(known.join(linked, "set_id", "left").where("n > 1 OR root IS NOT NULL"), "known")
     named = known.groupBy(F.coalesce("root", "set_id").alias("root")).agg(F.min("least").alias("leader"))
     groups = known.select("set_id", "n", F.coalesce("root", "set_id").alias("root")).join(named, "root").drop("root")
-    found = join_counted(sets.drop("keys"), groups, "set_id", "n", sets.count())
+    found = join_counted(sets.drop("keys", "spare"), groups, "set_id", "n", sets.count())
     alone = F.col("leader").isNull()
     return found.select(
         "doc_id",

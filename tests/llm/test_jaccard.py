@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,20 +94,31 @@ def test_keep_first_keeps_one_of_each_group_and_all_columns(spark):
     assert len([r for r in kept.collect() if r.doc_id == 6]) == 0  # equals document 5
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 30), min_size=1, max_size=40, unique=True), st.integers(0, 3), st.integers(0, 10**6))
-def test_similar_sets_share_a_run(values, changes, seed):
-    import numpy as np
+def keys_kept(s, percent, order):
+    """Keys of a set without its last ones in an order of all keys, as many as it may leave out."""
+    keys, spare = jaccard.run_keys(s, percent)
+    kept = set()
+    for bit in (0, 1):
+        own = sorted((k for k in keys.tolist() if k & 1 == bit), key=order)
+        kept |= set(own[: max(len(own) - spare[bit], 0)])
+    return kept
 
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(st.integers(0, 60), min_size=1, max_size=60, unique=True), st.integers(0, 12), st.integers(0, 10**6), st.sampled_from([80, 90])
+)
+def test_similar_sets_keep_a_common_run(values, changes, seed, percent):
     rng = random.Random(seed)
-    a = jaccard.mixed(np.array(sorted(values), np.uint64))
     other = set(values)
     for _ in range(changes):
-        other ^= {rng.randrange(40)}
-    if not other:
-        return
-    b = jaccard.mixed(np.array(sorted(other), np.uint64))
+        other ^= {rng.randrange(80)}
     both = len(set(values) & other)
-    if 100 * both >= 90 * (len(values) + len(other) - both) and set(values) != other:
-        keys = [set(jaccard.run_keys(np.unique(s), 90).tolist()) for s in (a, b)]
-        assert keys[0] & keys[1]
+    if not other or set(values) == other or 100 * both < percent * (len(values) + len(other) - both):
+        return
+    a, b = (np.unique(jaccard.mixed(np.array(sorted(x), np.uint64))) for x in (values, other))
+    for salt in range(8):
+        def order(key, salt=salt):
+            return hash((key, salt, seed))
+
+        assert keys_kept(a, percent, order) & keys_kept(b, percent, order)
