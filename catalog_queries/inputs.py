@@ -164,7 +164,7 @@ def faulty_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # One scene a supplier: two collections and an entry without one. Every fourth names a customer's
 # record, every tenth has only an English title, every 25th ends in a null collection.
 _METAS = """concat(
-    '[{"collection":{"edanRecordId":"edanmdm:old_', s_suppkey, '","title":"Superseded"}},',
+    '[{"collection":{"edanRecordId":"edanmdm:old_', s_suppkey, '","title":"Earlier cast"}},',
     '{"collection":{"edanRecordId":"edanmdm:',
     CASE WHEN s_suppkey % 4 = 0 THEN 'cu_' ELSE 'sup_' END, s_suppkey, '",',
     CASE WHEN s_suppkey % 10 = 0 THEN '' ELSE concat('"title":"Model ', s_suppkey, '",') END,

@@ -26,14 +26,14 @@ from shelfmark.functions.json_text import has_field, not_json
 from shelfmark.functions.names import file_name, linked_name, naive_utc
 from shelfmark.operators import files, gates, links, models, ranges, records
 from shelfmark.operators.hot_join import spread_join
-from shelfmark.operators.listing import coverage
+from shelfmark.operators.listing import coverage, offenders
 from shelfmark.operators.order_audit import order_audit
 from shelfmark.plans.steps import Rebuild
 from shelfmark.sinks import tables as sink
 from shelfmark.sources.inventory import read_inventory
 from shelfmark.sources.records import ingest_records
 from shelfmark.sources.scenes import load_scenes
-from shelfmark.sources.tables import read_if_exists, scratch_path, stage
+from shelfmark.sources.tables import read_if_exists, register, scratch_path, stage
 
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,18 +149,12 @@ def assign_segments(spark, sf_dir):
 
 
 def scan_segment(spark, sf_dir):
-    """Every segment scanned on its own; the union is the whole listing, each key once.
-
-    The listing is stored in the order of its keys, so that each scan skips what lies outside its range.
-    """
-    path = scratch_path(spark, "sorted-listing")
-    sink.write_sorted(_stored_listing(spark, sf_dir), path, ("key",))
-    listed = spark.read.parquet(path)
+    """Every segment scanned, all in one scan of the stored shards; the union is the whole listing, each key once."""
+    listed, path = _stored_listing(spark, sf_dir), scratch_path(spark, "shards")
     cut = _ranges(listed)
-    scans = [ranges.scan_segment(listed, cut, n).groupBy("segment").agg(
-        F.count("key").alias("n"), F.min("key").alias("lowest"), F.max("key").alias("highest")
-    ) for n in range(len(cut))]
-    return reduce(DataFrame.union, scans)
+    sink.write_segments(ranges.assign_segments(listed, cut), path)
+    scanned = ranges.scan_segments(spark.read.parquet(path), cut.frame(spark))
+    return scanned.groupBy("segment").agg(F.count("key").alias("n"), F.min("key").alias("lowest"), F.max("key").alias("highest"))
 
 
 def segmented_write(spark, sf_dir):
@@ -398,15 +392,35 @@ def gate_faults(spark, sf_dir):
     return gates.table_gates(tables, SPEC, {"files": before})
 
 
-def coverage_faults(spark, sf_dir):
-    """The coverage audit on a listing with foreign, repeated and misplaced keys."""
+def _faulty_shards(spark, sf_dir):
+    """A listing with foreign, repeated and misplaced keys, and its ranges."""
     listed = _stored_listing(spark, sf_dir)
     cut = _ranges(listed)
     placed = ranges.assign_segments(listed, cut)
     moved = placed.withColumn("segment", F.when(F.col("size") % 89 == 0, F.lit(1)).otherwise(F.col("segment")))
     foreign = listed.where("size % 83 = 0").withColumn("key", F.concat(F.lit("zzz/"), "key"))
-    shards = moved.union(moved.where("size % 79 = 0")).union(ranges.assign_segments(foreign, cut))
-    return coverage(shards, cut, SPEC)
+    return moved.union(moved.where("size % 79 = 0")).union(ranges.assign_segments(foreign, cut)), cut
+
+
+def coverage_faults(spark, sf_dir):
+    """The coverage audit on a listing with foreign, repeated and misplaced keys."""
+    return coverage(*_faulty_shards(spark, sf_dir), SPEC)
+
+
+def coverage_offenders(spark, sf_dir):
+    """The first key ranges that hold keys beyond their ends, as the audit names them."""
+    return offenders(*_faulty_shards(spark, sf_dir), SPEC)
+
+
+def registered_inputs(spark, sf_dir):
+    """SQL over the inputs of the catalog step: units, their records, and files of their folder."""
+    register(spark, {"listing": _stored_listing(spark, sf_dir), "metadata": metadata(spark, sf_dir)})
+    return spark.sql("""
+        WITH units AS (SELECT lower(unitCode) AS unit, count(*) AS records, count(DISTINCT filename) AS sources
+                       FROM metadata WHERE unitCode IS NOT NULL GROUP BY ALL),
+        folders AS (SELECT regexp_extract(key, '^arc/pub/media/([^/]+)/', 1) AS unit, count(*) AS files, sum(size) AS bytes
+                    FROM listing GROUP BY ALL)
+        SELECT unit, records, sources, files, bytes FROM units LEFT JOIN folders USING (unit)""")
 
 
 def _as_one(tables) -> DataFrame:
@@ -455,6 +469,6 @@ QUERIES = {
         url_query_param, malformed_documents, record_ingest, gate_schema, gate_drift, gate_unique,
         gate_present, gate_reference, gate_prefix, gate_report, catalog_write, catalog_sort_audit,
         stored_order_audit, publish, bad_scene_files, inventory, earlier_release, hot_media_links, gate_faults,
-        coverage_faults, rebuild,
+        coverage_faults, coverage_offenders, registered_inputs, rebuild,
     )
 }

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+import os
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
@@ -16,11 +15,8 @@ from shelfmark.functions.names import key_of_url
 from shelfmark.functions.search import count_below
 from shelfmark.spec import CatalogSpec
 
-# Quantile search cuts the keys into SLICES a part and looks closer only at slices that hold a
-# quantile; slices with more than CROWDED different keys are cut again first.
-SLICES = 16
-SAMPLES_PER_SLICE = 16
-CROWDED = 5_000_000
+# Quantile search tells keys apart by so many characters at a time.
+CHARACTERS = 2
 
 
 class KeyRanges:
@@ -61,9 +57,15 @@ class KeyRanges:
         return spark.createDataFrame([(n, *self.bounds(n)) for n in range(len(self))], schemas.SEGMENTS)
 
 
-def scan_segment(listing: DataFrame, ranges: KeyRanges, n: int) -> DataFrame:
-    """The rows of one range."""
-    return listing.where(ranges.holds(F.col("key"), n)).withColumn("segment", F.lit(n))
+def scan_segments(shards: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of the ranges that ``wanted`` names by ``index``, in one scan however many they are.
+
+    ``shards`` is a listing with a segment column, at best stored by it: then the scan opens only the files of
+    wanted ranges, also where these are known at run time only. A range is named once.
+    """
+    ranges = wanted.select(F.col("index").cast("int").alias("segment")).distinct()
+    # one integer a range, and the ranges came from the driver
+    return shards.join(F.broadcast(ranges), "segment", "left_semi")
 
 
 def assign_segments(listing: DataFrame, ranges: KeyRanges) -> DataFrame:
@@ -71,84 +73,60 @@ def assign_segments(listing: DataFrame, ranges: KeyRanges) -> DataFrame:
     return listing.withColumn("segment", ranges.place(F.col("key")))
 
 
-def exact_quantiles(df: DataFrame, column: str, parts: int, crowded: int = CROWDED) -> list[str]:
+def exact_quantiles(df: DataFrame, column: str, parts: int) -> list[str]:
     """The discrete i/parts quantiles of a string column, i = 1 .. parts - 1, as sorted distinct values.
 
     A quantile is the value at rank ceil(n * i / parts), counted from 1 over all non-null rows.
 
-    Sorting everything to read a few ranks would shuffle every key. Instead:
-
-    1. cut points are taken from a sample; they only decide where to look closer
-    2. one pass counts all keys between the cut points, which tells the slice of each rank; slices
-       with very many different keys are cut again, at a sample of these
-    3. one more pass reads just those slices, with equal keys counted before they are shuffled, and
-       adds up the counts in key order to find the ranks
-
-    Only samples, slice counts and the result come to the driver; their number depends on ``parts``
-    and not on the data.
+    Sorting everything to read a few ranks would shuffle every key. Instead keys are counted by how they
+    begin, first all of them, then those that begin like the key at a wanted rank, ``CHARACTERS`` further at
+    a time and past whatever the keys of a group have in common. A group whose smallest and largest key are
+    the same ends the search for its ranks. Each pass counts in tasks before it shuffles; the driver gets a row
+    for each beginning that is found below the at most ``parts`` - 1 beginnings that hold a wanted rank.
     """
     keys = df.select(F.col(column).alias("key")).where("key IS NOT NULL")
-    # over stored tables this count is read off the file footers
-    cuts = _sample_cuts(keys, df.count(), parts * SLICES)
-    while True:
-        sliced = keys.withColumn("slice", count_below(F.col("key"), cuts))
-        counts = sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("key").alias("d"))
-        sizes = {r["slice"]: (r["n"], r["d"]) for r in counts.collect()}
-        rows = sum(n for n, _ in sizes.values())
-        if parts < 2 or rows == 0:
-            return []
-        # integer arithmetic: rank = ceil(rows * i / parts)
-        ranks = [(rows * i + parts - 1) // parts for i in range(1, parts)]
-        offsets = _ranks_by_slice(ranks, {s: n for s, (n, _) in sizes.items()})
-        large = [s for s in offsets if sizes[s][1] > crowded]
-        if not large:
-            break
-        # copies would crowd out the other keys of a sample
-        inside = keys.where(_in_slices(cuts, large)).distinct()
-        finer = _sample_cuts(inside, sum(sizes[s][1] for s in large), parts * SLICES)
-        if not set(finer) - set(cuts):
-            break
-        cuts = sorted({*cuts, *finer})
-
-    targets = df.sparkSession.createDataFrame(
-        [(s, offset) for s, found in offsets.items() for offset in found], "slice int, offset long"
-    )
-    running = Window.partitionBy("slice").orderBy("key")
-    counted = (
-        keys.where(_in_slices(cuts, offsets))
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("slice", count_below(F.col("key"), cuts))
-        .withColumn("last", F.sum("n").over(running))
-    )
-    # at most parts - 1 rows, hence the broadcast
-    hits = counted.join(F.broadcast(targets), "slice").where("offset <= last AND offset > last - n")
-    return sorted({r["key"] for r in hits.select("key").collect()})
-
-
-def _in_slices(cuts: Sequence[str], slices: Iterable[int]) -> Column:
-    """Whether a key lies in one of the slices, as ranges a Parquet scan can prune by."""
-    cut = KeyRanges(cuts)
-    return reduce(Column.__or__, [cut.holds(F.col("key"), s) for s in slices])
-
-
-def _sample_cuts(keys: DataFrame, rows: int, slices: int) -> list[str]:
-    """About ``slices`` evenly spaced values out of a sample of SAMPLES_PER_SLICE times as many."""
-    share = min(1.0, slices * SAMPLES_PER_SLICE / max(rows, 1))
-    values = sorted(r["key"] for r in keys.sample(fraction=share, seed=0).collect())
-    step = max(1, len(values) // slices)
-    return sorted(set(values[step - 1 :: step]))
-
-
-def _ranks_by_slice(ranks: Sequence[int], sizes: dict[int, int]) -> dict[int, list[int]]:
-    """For each slice that holds wanted ranks, those ranks counted from the slice's start."""
-    slices = sorted(sizes)
-    ends = list(accumulate(sizes[s] for s in slices))
-    found: dict[int, list[int]] = {}
-    for rank in ranks:
-        at = bisect_left(ends, rank)
-        found.setdefault(slices[at], []).append(rank - ends[at] + sizes[slices[at]])
-    return found
+    rows, low, high = keys.agg(F.count(F.lit(1)), F.min("key"), F.max("key")).first()
+    if parts < 2 or rows == 0:
+        return []
+    # integer arithmetic: rank = ceil(rows * i / parts)
+    ranks = [(rows * i + parts - 1) // parts for i in range(1, parts)]
+    found: set[str] = set()
+    todo: dict[str, list[int]] = {}
+    _look_up(ranks, [(rows, low, high)], found, todo)
+    while todo:
+        prefixes = sorted(todo)
+        groups: dict[int, list] = {}
+        for r in _beginnings(keys, prefixes).collect():
+            groups.setdefault(r["prefix"], []).append(r)
+        wanted, todo = todo, {}
+        for n, prefix in enumerate(prefixes):
+            # strings compare as their bytes in UTF-8; a group that begins another is one key, which comes first
+            found_below = sorted(groups[n], key=lambda r: r["beginning"])
+            _look_up(wanted[prefix], [(r["n"], r["low"], r["high"]) for r in found_below], found, todo)
+    return sorted(found)
+
+
+def _beginnings(keys: DataFrame, prefixes: Sequence[str]) -> DataFrame:
+    """Keys below some prefixes, counted by prefix and the characters after it, with the smallest and largest of each."""
+    key = F.col("key")
+    below = [key.startswith(p) for p in prefixes]
+    prefix = F.coalesce(*(F.when(there, F.lit(n)) for n, there in enumerate(below)))
+    beginning = F.coalesce(*(F.when(there, F.substring(key, 1, len(p) + CHARACTERS)) for p, there in zip(prefixes, below, strict=True)))
+    placed = keys.where(reduce(Column.__or__, below)).select("key", prefix.alias("prefix"), beginning.alias("beginning"))
+    return placed.groupBy("prefix", "beginning").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+
+
+def _look_up(ranks: Sequence[int], groups: Iterable[tuple[int, str, str]], found: set[str], todo: dict[str, list[int]]) -> None:
+    """Find the group of each rank among groups in order: its key if it has one only, else where to look on."""
+    waiting, before = sorted(ranks, reverse=True), 0
+    for n, low, high in groups:
+        while waiting and waiting[-1] <= before + n:
+            rank = waiting.pop() - before
+            if low == high:
+                found.add(low)
+            else:
+                todo.setdefault(os.path.commonprefix([low, high]), []).append(rank)
+        before += n
 
 
 def key_boundaries(previous_files: DataFrame, spec: CatalogSpec, parts: int | None = None) -> list[str]:
