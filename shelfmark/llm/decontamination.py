@@ -5,8 +5,8 @@ five words of every document is hashed, as template and, where it has placeholde
 and joined with the windows of the benchmark. What may match is first sieved by a bit sketch of the
 benchmark's windows, whose size is fixed; the join itself decides. Matches on one diagonal (the same
 shift between document and item) must bind the item's slots consistently: one value of the item
-always to the same value in the document. A document leaks an item when consistent diagonals hold at
-least 80 % of its windows.
+always to the same value in the document. A document leaks an item when windows on consistent diagonals cover at
+least 80 % of its words, so that one changed word costs one word and not all the windows that hold it.
 
 Names are words with a capital first letter within a sentence, units are the words of ``UNITS`` after
 a number and currency signs. A template window needs ``MIN_PLAIN`` word that is no placeholder.
@@ -23,6 +23,7 @@ that count as one, and an item without item_id is reported under null.
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -59,12 +60,38 @@ NUMBER, NAME, UNIT = (np.uint64(n) for n in (1, 2, 3))  # no word has such a sma
 START, WITHIN, COUNTED = 0, 1, 2  # where a word stands: first in its sentence, within it, after a number
 MIX = np.uint64(0x9E3779B97F4A7C15)
 OPEN, CLOSED, DIGITS = (np.uint64(n) for n in (1, 2, 4))  # nothing before a word, nothing after it, digits
+BEHIND = ".,;:!?\"'”’)]}|*&#"  # marks behind a word that are no words themselves
+ENDS = ".!?:;|"  # marks that end sentences
 STANDS, TYPED, BEGINS = 0, 1, 2  # forms of a window: as it stands, as template, with names that begin sentences
 GROUP = 1 << 15  # words that are hashed in one go
 
 
 def _canonical(chunk: str, state: int) -> tuple[bytes, int]:
     """Four hashes or marks for each word of a chunk without spaces, and the state after it."""
+    word = chunk.rstrip(BEHIND)
+    return _one_word(chunk, word, state) if word.isalpha() else _any_words(chunk, state)
+
+
+def _one_word(chunk: str, word: str, state: int) -> tuple[bytes, int]:
+    """As ``_any_words``, for a chunk of letters only with marks behind them: most chunks."""
+    plain = word.lower()
+    raw = kind = begins = xxhash.xxh3_64_intdigest(plain)
+    marks = (int(OPEN) if state != START else 0) | (int(CLOSED) if len(word) == len(chunk) else 0)
+    here = WITHIN
+    if plain in NUMBERS:
+        kind = begins = int(NUMBER)
+        here = COUNTED
+    elif state == COUNTED and plain in UNITS:
+        kind = begins = int(UNIT)
+    elif len(word) > 1 and word[0].isupper() and word[1:].islower():
+        kind = raw if state == START else int(NAME)
+        begins = raw if state == START and plain in COMMON else int(NAME)
+    if len(word) != len(chunk) and chunk.rstrip("\"'”’)]}")[-1:] in ENDS:
+        here = START
+    return struct.pack("=4Q", kind, raw, begins, marks), here
+
+
+def _any_words(chunk: str, state: int) -> tuple[bytes, int]:
     out, here, end = [], state, 0
     for match in TOKEN.finditer(chunk):
         word = match.group()
@@ -91,7 +118,7 @@ def _canonical(chunk: str, state: int) -> tuple[bytes, int]:
         here = WITHIN
     if out and end != len(chunk):
         out[-1] &= ~int(CLOSED)
-    if chunk.rstrip("\"'”’)]}")[-1:] in ".!?:;|" or (not out and here == WITHIN):
+    if chunk.rstrip("\"'”’)]}")[-1:] in ENDS or (not out and here == WITHIN):
         here = START
     return np.array(out, np.uint64).tobytes(), here
 
@@ -225,17 +252,17 @@ def _window_batches(texts, known: np.ndarray | None = None):
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """``(item_id, n_windows, pos, hash, words, plain)`` of the items with at least ``MIN_WORDS`` words."""
+    """``(item_id, n_words, pos, hash, words, plain)`` of the items with at least ``MIN_WORDS`` words."""
 
     def read(batches):
         for batch in batches:
             texts = zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
             for names, columns in _window_batches(texts):
-                columns = [pa.array([x for x, _ in names], pa.int64()), pa.array([n - WINDOW + 1 for _, n in names], pa.int32()), *columns]
-                yield pa.RecordBatch.from_arrays(columns, ["item_id", "n_windows", *COLUMNS])
+                columns = [pa.array([x for x, _ in names], pa.int64()), pa.array([n for _, n in names], pa.int32()), *columns]
+                yield pa.RecordBatch.from_arrays(columns, ["item_id", "n_words", *COLUMNS])
 
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text IS NOT NULL")
-    return items.mapInArrow(read, f"item_id bigint, n_windows int, {WINDOWS}")
+    return items.mapInArrow(read, f"item_id bigint, n_words int, {WINDOWS}")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -266,11 +293,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 
     stands = F.col("item_form") == STANDS
     shifted = matches.select(
-        "doc_id", "text_hash", "item_id", "n_windows", "item_pos", "doc_pos",
+        "doc_id", "text_hash", "item_id", "n_words", "item_pos", "doc_pos",
         (F.col("doc_step") - F.col("item_step")).alias("shift"),
         (F.greatest("item_form", "doc_form") == BEGINS).alias("begins"),
         (F.greatest("item_span", "doc_span") > WINDOW).alias("wide"),
-        F.expr(f"sequence(item_pos, item_pos + item_span - {WINDOW})").alias("covers"),
+        F.expr("sequence(item_pos, item_pos + item_span - 1)").alias("covers"),
         F.when(stands, slots("values", "item")).otherwise(slots("values", "doc")).alias("slots"),
         F.when(stands, slots("plain", "item")).otherwise(slots("plain", "doc")).alias("singles"),
     )
@@ -279,7 +306,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         return F.array_distinct(F.flatten(F.collect_set(F.when(F.expr(condition), F.col(column)))))
 
     diagonals = shifted.groupBy("doc_id", "text_hash", "item_id", "shift").agg(
-        F.max("n_windows").alias("n_windows"),
+        F.max("n_words").alias("n_words"),
         F.min(F.when(~F.col("begins"), F.col("doc_pos"))).alias("doc_pos"),
         every("NOT begins", "covers").alias("found"),
         every("NOT begins AND NOT wide", "covers").alias("narrow"),
@@ -298,14 +325,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     diagonals = diagonals.withColumn("runs_agree", consistent("pairs")).withColumn("words_agree", consistent("singles"))
     diagonals = diagonals.withColumn("starts", F.when(F.col("runs_agree"), agreeing).otherwise(F.expr("filter(starts, w -> false)")))
     diagonals = diagonals.select(
-        "doc_id", "text_hash", "item_id", "n_windows",
+        "doc_id", "text_hash", "item_id", "n_words",
         F.expr("""array_distinct(concat(flatten(starts.covers),
             CASE WHEN runs_agree THEN found WHEN words_agree THEN narrow ELSE filter(found, x -> false) END))""").alias("found"),
         F.expr("""forall(if(runs_agree, pairs, singles), x -> x.item = x.doc)
             AND forall(flatten(starts.slots), x -> x.item = x.doc)""").alias("exact"),
         F.expr("least(if(runs_agree OR words_agree, doc_pos, NULL), array_min(starts.doc_pos))").alias("doc_pos"),
     )
-    whole = F.size(F.array_distinct(F.flatten(F.collect_set("found")))) / F.max("n_windows")
+    whole = F.size(F.array_distinct(F.flatten(F.collect_set("found")))) / F.max("n_words")
     return (
         diagonals.where(F.size("found") > 0)
         .groupBy("doc_id", "text_hash", "item_id")
