@@ -1,7 +1,8 @@
 """Chat formatting: a hidden Markov model recovers who speaks, then turns are rendered canonically.
 
-Each line of a transcript shows a speaker marker, if any, its length, whether it asks, and whether it
-is the first. From lines with known roles the model counts how roles follow each other and what their
+A text may be one turn or a whole transcript: it is cut before every line that begins with a speaker marker, and
+lines without one stay with the speaker before them. What is left uncut is a line of the model below. Each shows a
+speaker marker, if any, its length, its number of lines and whether it asks. From lines with known roles the model counts how roles follow each other and what their
 lines show. Roles of all lines are then recovered by Viterbi, never looking at a given role.
 
 Lines are sorted by conversation and cut into parts of about ``PART_ROWS`` lines wherever they fall. A
@@ -9,8 +10,9 @@ conversation may thus lie in several parts: each part sums up its first and last
 of best scores between a role before and a role at the end, so that the roles at the cuts can be chosen
 from these tables alone; then every part recovers its own lines. No conversation has to fit in a task.
 
-Defined cases: lines without conversation are one conversation, named null; lines are ordered by turn,
-nulls first, then by their text; a null text is an empty line; roles other than ``ROLES`` and their
+Defined cases: a given role of a text that holds several turns teaches nothing, since it is not known whose it is.
+Lines without conversation are one conversation, named null; lines are ordered by turn,
+nulls first, then by a hash of their text and by their place in it; a null text is an empty line; roles other than ``ROLES`` and their
 ``ALIASES`` teach nothing; without any known role the markers decide. Repeated rows are lines of their own.
 Of several equally likely sequences of roles one is taken; which one may depend on where parts end.
 """
@@ -34,6 +36,8 @@ ALIASES = {
 }
 NAMES = {alias: n for n, role in enumerate(ROLES) for alias in ALIASES[role]}
 MARKER = r"(?i)^\s*(?:<\|?|\[|\*\*|#+\s*)?(" + "|".join(sorted(NAMES, key=lambda x: (-len(x), x))) + r")\s*(?:\|?>|\]|:\s*\*\*|\*\*\s*:|:|\s*>)\s*"
+# Before a line that begins with a marker.
+TURN = "(?i)\\n(?=[ \\t]*" + MARKER.removeprefix(r"(?i)^\s*").removesuffix(r"\s*") + ")"
 SIZES = 14  # classes of length, by powers of two
 LINE_COUNTS = 4
 SHAPES = 4 * SIZES * LINE_COUNTS * 2
@@ -106,14 +110,18 @@ class RoleModel:
 
 
 def _lines(lines: DataFrame) -> DataFrame:
-    """Lines in order, cut into parts: ``(part, at, conv, turn, text, shape, known)``."""
-    parts = max(1, -(-lines.count() // PART_ROWS))
-    named = lines.select(
-        F.col("conv_id").cast("string").alias("conv"), F.col("turn").cast("bigint").alias("turn"),
-        F.coalesce("text", F.lit("")).alias("text"), shape(F.col("text")).alias("shape"), "known",
+    """Lines in order, cut into parts: ``(part, at, conv, turn, piece, text, shape, known)``."""
+    whole = F.coalesce("text", F.lit(""))
+    cut = lines.select("conv_id", "turn", "known", F.xxhash64(whole).alias("row"), F.split(whole, TURN).alias("pieces"))
+    cut = cut.withColumn("copy", F.monotonically_increasing_id())  # keeps the lines of repeated rows apart
+    named = cut.select(
+        F.col("conv_id").cast("string").alias("conv"), F.col("turn").cast("bigint").alias("turn"), "row", "copy",
+        F.when(F.size("pieces") == 1, F.col("known")).alias("known"), F.posexplode("pieces").alias("piece", "text"),
     )
-    order = ["conv", "turn", "text"]
-    dealt = named.repartitionByRange(parts, "conv", "turn", F.xxhash64("text")).sortWithinPartitions(*order)
+    named = staged(named.withColumn("shape", shape(F.col("text"))), "turns")
+    parts = max(1, -(-named.count() // PART_ROWS))
+    order = ["conv", "turn", "row", "copy", "piece"]
+    dealt = named.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("row", "copy")
     return staged(dealt.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "lines")
 
 
@@ -229,7 +237,9 @@ def rendered(text: str, role: int, before: int | None, last: bool) -> str:
 
 
 def format_chats(lines: DataFrame) -> DataFrame:
-    """``(conv_id, turn, role, starts, rendered)`` of every line of ``lines (conv_id, turn, text, known)``.
+    """``(conv_id, turn, piece, role, starts, rendered)`` of every line of ``lines (conv_id, turn, text, known)``.
+
+    ``piece`` numbers the lines that a text was cut into, from 0.
 
     ``known`` is the index of a role to learn from, or null. ``starts`` marks the lines that begin a
     turn of the canonical transcript.
@@ -251,10 +261,10 @@ def format_chats(lines: DataFrame) -> DataFrame:
                 starts.append(found != role)
                 pieces.append(rendered(texts[i], found, role, i == hi - 1 and not open_end))
                 role = found
-        return pa.table({"conv_id": table["conv"], "turn": table["turn"], "role": pa.array(roles, pa.string()), "starts": pa.array(starts, pa.bool_()), "rendered": pa.array(pieces, pa.string())})
+        return pa.table({"conv_id": table["conv"], "turn": table["turn"], "piece": table["piece"], "role": pa.array(roles, pa.string()), "starts": pa.array(starts, pa.bool_()), "rendered": pa.array(pieces, pa.string())})
 
-    found = parts.select("part", "at", "conv", "turn", "text", "shape").groupBy("part").applyInArrow(
-        read, "conv_id string, turn bigint, role string, starts boolean, rendered string"
+    found = parts.select("part", "at", "conv", "turn", "piece", "text", "shape").groupBy("part").applyInArrow(
+        read, "conv_id string, turn bigint, piece int, role string, starts boolean, rendered string"
     )
     return found.withColumn("conv_id", F.col("conv_id").cast(lines.schema["conv_id"].dataType))
 

@@ -93,6 +93,44 @@ def test_markers_decide_where_nothing_is_known(spark):
     )
 
 
+def test_transcripts_within_a_text_are_parsed(spark):
+    talk = "User: hi there\nAssistant: hello\n\nhow are you?\n  [Human] bye\n### assistant: so long"
+    rows = [(1, 0, None, talk), (2, 0, "user", "one line\nand one without a marker"), (3, 0, None, "User: a\nUser: b"), (1, 0, None, talk)]
+    found = chat.op10(spark.createDataFrame(rows[:3], SCHEMA)).orderBy("conv_id", "turn", "piece").collect()
+    assert [(r.conv_id, r.role, r.starts) for r in found] == [
+        (1, "user", True), (1, "assistant", True), (1, "user", True), (1, "assistant", True), (2, "user", True), (3, "user", True), (3, "user", False),
+    ]
+    assert "".join(r.rendered for r in found[:4]) == (
+        "<|im_start|>user\nhi there<|im_end|>\n<|im_start|>assistant\nhello\n\nhow are you?<|im_end|>\n"
+        "<|im_start|>user\nbye<|im_end|>\n<|im_start|>assistant\nso long<|im_end|>\n"
+    )
+    assert found[4].rendered == "<|im_start|>user\none line\nand one without a marker<|im_end|>\n"
+    assert found[5].rendered + found[6].rendered == "<|im_start|>user\na\nb<|im_end|>\n"
+    twice = chat.op10(spark.createDataFrame([rows[0], rows[3]], SCHEMA)).collect()
+    assert [r.role for r in sorted(twice, key=lambda r: r.piece)] == ["user"] * 2 + ["assistant"] * 2 + ["user"] * 2 + ["assistant"] * 2
+
+
+@pytest.mark.parametrize("rows_a_part", [10**6, 7])
+def test_long_transcripts_keep_their_markers(spark, monkeypatch, rows_a_part):
+    """Every line group with a marker of its own gets that role, whatever the cuts, and nothing is lost."""
+    monkeypatch.setattr(chat, "PART_ROWS", rows_a_part)
+    rng, rows, truth = random.Random(4), [], {}
+    for conv in range(12):
+        roles = [rng.choice(chat.ROLES) for _ in range(rng.randrange(1, 30))]
+        body = [sentence(rng, rng.randrange(1, 9)) + rng.choice(["", "\n" + sentence(rng, 3)]) for _ in roles]
+        rows.append((conv, 0, None, "\n".join(f"{rng.choice(chat.ALIASES[r]).title()}: {b}" for r, b in zip(roles, body, strict=True))))
+        truth[conv] = (roles, body)
+    found = chat.op10(spark.createDataFrame(rows, SCHEMA)).collect()
+    for conv, (roles, body) in truth.items():
+        own = sorted((r for r in found if r.conv_id == conv), key=lambda r: r.piece)
+        assert [r.role for r in own] == roles
+        want, before = "", None
+        for role, text in zip(roles, body, strict=True):
+            want += "\n" if role == before else ("" if before is None else chat.CLOSE) + f"{chat.OPEN}{role}\n"
+            want, before = want + text, role
+        assert "".join(r.rendered for r in own) == want + chat.CLOSE
+
+
 def test_odd_rows(spark):
     rows = talks(random.Random(3), 20) + [(None, None, None, None), (None, 1, "x", ""), (5, None, "user", "early"), (5, 0, "user", None), (6, 0, "tool", "y")]
     rows += [(6, 0, "tool", "y")] * 2
