@@ -20,9 +20,10 @@ def spark():
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
     )
     session = builder.getOrCreate()
+    if not session.conf.get("spark.checkpoint.dir", None):  # which cannot be set later on
+        session.stop()
+        session = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checkpoints-")).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checkpoints-"))
     yield session
     clear_scratch(session)
     session.stop()
