@@ -36,6 +36,36 @@ def test_recall_scores_and_order(spark, uneven):
     assert hits / (20 * len(by_query)) >= 0.9
 
 
+@pytest.mark.parametrize(("dims", "uneven"), [(32, False), (64, True), (256, False)])
+def test_recall_by_dimensions(dims, uneven):
+    """Of vectors without any structure, the hardest case, one block."""
+    rng = np.random.default_rng(dims)
+    x = rng.standard_normal((3000, dims))
+    if uneven:
+        x *= rng.lognormal(0, 0.5, (3000, 1))
+    ids = np.arange(len(x))
+    index, hits = neighbours.CollisionIndex(x, 21), 0
+    for q in range(0, 3000, 75):
+        found, scores = index.nearest(x[q], 20, ids, q)
+        hits += len(set(found.tolist()) & {i for i, _ in brute(x, ids, x[q], q, 20)})
+    assert hits / (20 * 40) >= 0.9
+
+
+def test_partitions_and_blocks_of_queries_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    lines = table(spark, [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((2000, 16)))])
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(neighbours, "FEWEST_QUERIES", 5)
+    before, results = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions in ("3", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            results.append(sorted(tuple(r) for r in neighbours.op6(lines.withColumn("block", lines.vec_id)).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1] and len(results[0]) == 2000
+
+
 def test_copies_give_the_smallest_ids(spark):
     rows = [(i, [1.0, 0.5]) for i in range(200)] + [(500, [0.5, 0.5]), (1000, [1.0, 0.5])]
     found = neighbours.op6(table(spark, rows)).collect()
