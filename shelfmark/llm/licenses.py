@@ -8,7 +8,8 @@ apart, as words left out or put in make them, are merged; merged spans are verif
 
 Words are runs of characters other than ASCII ones that are no letter or digit, A-Z in lower case.
 Defined cases: a null or empty text has no words, no labels and score 0; rows that repeat doc_id and
-text count as one document and get the same result.
+text count as one document and get the same result. An empty table gives an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations

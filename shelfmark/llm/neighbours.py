@@ -8,12 +8,13 @@ lines are verified by their exact inner product; windows grow until these are a
 to 64 dimensions and more in proportion beyond, where projections tell less apart.
 
 Vectors are cut into blocks of ``BLOCK_ROWS``, queries as it suits the number of tasks; each pair of blocks is one
-group. What is found depends on the blocks of vectors only. No more vectors than
-wanted neighbours and one are kept of those that are equal, since ties go to the smaller id.
+group. What is found depends on the blocks of vectors only. No more vectors than wanted neighbours and one are kept
+of those that are equal, since ties go to the smaller id.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part,
 nor do rows without vec_id; repeated rows count once; vectors of different lengths are not compared;
-of several vectors of one query id the smallest asks.
+of several vectors of one query id the smallest asks. An empty table gives an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations

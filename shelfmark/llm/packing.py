@@ -9,7 +9,8 @@ class, too few for a bin, are packed together with those of the other classes by
 fewer than k of class k, so at most ``capacity`` squared tokens, however many documents there are.
 
 Defined cases: a null or empty text has the end token only; every row is a document of its own, also
-repeated ones. An id of a document lies in exactly one piece.
+repeated ones and those without doc_id, whose pieces have a null one. An id of a document lies in exactly one
+piece. An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations

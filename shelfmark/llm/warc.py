@@ -14,7 +14,8 @@ and reads the records' ranges of bytes.
 
 Defined cases: a null html is an empty payload; a null url is the key ``-``; rows without page_id sort
 last and have the id ``-``; of rows that repeat the smallest page_id of a payload one is the response;
-repeated rows are records of their own.
+repeated rows are records of their own. An empty table gives no archive rows and an empty result; further columns
+are ignored.
 """
 
 from __future__ import annotations
