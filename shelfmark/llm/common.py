@@ -34,6 +34,11 @@ def worker_cached(key: tuple, make: Callable):
     return kept[key]
 
 
+def release_kept() -> None:
+    """Drop what ``worker_cached`` keeps in this Python worker, which other stages of a job have no use for."""
+    sys.__dict__.get("_shelfmark_kept", {}).clear()
+
+
 class Memo(dict):
     """A dict that makes missing values, and forgets all of them beyond ``MEMO`` keys."""
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Memo, components, join_counted, maybe_in, sketch, staged
+from shelfmark.llm.common import Memo, components, join_counted, maybe_in, release_kept, sketch, staged
 from shelfmark.sources.tables import drop_table
 
 N = 3
@@ -34,6 +34,7 @@ PERCENT = 90
 SLACK = 3  # more runs than needed, so that sets with an empty run still agree in a full one
 SPARE = 4  # and one more for so many, so that sets can leave out the most common ones
 CELL = 1_000_000  # n-grams that one trie holds, about; two such chunks meet in one cell
+SLICE = 512  # documents whose keys are handed on together
 BUNDLE = 256  # sets of a branch that is not split further
 SET_WEIGHT = 1_000  # n-grams that a set counts for besides its own, since sets are compared in pairs
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -103,19 +104,25 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """``(doc_id, text_hash, n_shingles, set_id, keys, spare)`` of every document; set_id is null for empty sets."""
 
     def sets(batches):
+        release_kept()
         memo = word_hashes()
         for batch in batches:
-            sizes, ids, keys, spares = [], [], [], []
-            for text in batch.column("text"):
-                s = shingles(text.as_py(), n, memo)
-                sizes.append(len(s))
-                ids.append(_set_id(s) if len(s) else None)
-                found, spare = run_keys(s, percent)
-                keys.append(found)
-                spares.append(spare)
-            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64())]
-            columns += [pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(spares, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "set_id", "keys", "spare"])
+            for at in range(0, batch.num_rows, SLICE):
+                yield slice_sets(batch.slice(at, SLICE), memo)
+
+    def slice_sets(batch, memo):
+        sizes, ids, keys, spares = [], [], [np.zeros(0, np.int64)], []
+        for text in batch.column("text"):
+            s = shingles(text.as_py(), n, memo)
+            sizes.append(len(s))
+            ids.append(_set_id(s) if len(s) else None)
+            found, spare = run_keys(s, percent)
+            keys.append(found)
+            spares.append(spare)
+        ends = pa.array(np.cumsum([len(k) for k in keys]), pa.int32())
+        columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())]
+        columns += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys))), pa.array(spares, pa.list_(pa.int32()))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "set_id", "keys", "spare"])
 
     schema = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id bigint, keys array<bigint>, spare array<int>"
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sets, schema)
@@ -235,6 +242,7 @@ def _cell_join(n: int, percent: int):
     """Links within one cell as (a, b): each set with one that stands for its component."""
 
     def join(table: pa.Table) -> pa.Table:
+        release_kept()
         memo = word_hashes()
         rows = zip(*(table[c].to_pylist() for c in ("set_id", "label", "left")), table["text"], strict=True)
         known: dict[int, tuple[np.ndarray, int]] = {}
