@@ -128,6 +128,16 @@ def test_a_frequent_key_is_cut_on_both_sides(spark):
     assert total / (grid["hot"][0] * grid["hot"][1]) <= 10_000
 
 
+def test_copies_of_a_hot_key_are_never_broadcast(spark):
+    # 300 rows in many copies: an estimate of their size knows nothing of the copies
+    name = "CASE WHEN id % 5 <> 1 THEN 'hot' ELSE concat('s', id) END AS k"
+    left, right = spark.range(30_000).selectExpr(name, "id AS a"), spark.range(300).selectExpr(name, "id AS b")
+    spread = spread_join(left, right, "k", 10_000)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    cells = [line for line in plan.splitlines() if "Join [" in line and "_left#" in line.split("]")[0]]
+    assert len(cells) == 1 and "SortMergeJoin" in cells[0]
+
+
 def test_every_hot_key_is_cut_however_many_there_are(spark):
     side = spark.range(3000 * 60).select((F.col("id") % 3000).alias("k"), F.col("id"))
     grid = split_grid(side, side, "k", 1_000)
