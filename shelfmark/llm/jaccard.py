@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Memo, components, join_counted, maybe_in, release_kept, sketch, staged
+from shelfmark.llm.common import Memo, components, join_counted, maybe_in, release_kept, return_memory, sketch, staged
 from shelfmark.sources.tables import drop_table
 
 N = 3
@@ -109,6 +109,8 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 yield slice_sets(batch.slice(at, SLICE), memo)
+        memo.clear()
+        return_memory()
 
     def slice_sets(batch, memo):
         sizes, ids, keys, spares = [], [], [np.zeros(0, np.int64)], []

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import MEMO, staged, worker_cached
+from shelfmark.llm.common import MEMO, return_memory, staged, worker_cached
 
 CAPACITY = 2048
 END = 1  # the id that ends each document
@@ -186,6 +186,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                 yield pa.RecordBatch.from_arrays(columns + ([pa.array(ids, pa.list_(pa.int32()))] if with_ids else []), names + ["ids"] * with_ids)
         encoder.known.clear()
         gc.enable()
+        return_memory()
 
     schema = "doc_id bigint, start bigint, length bigint, class int, ids_crc32 bigint, doc_tokens bigint"
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(read, schema + ", ids array<int>" * with_ids)

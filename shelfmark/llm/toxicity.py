@@ -29,11 +29,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Memo, staged
+from shelfmark.llm.common import Memo, release_kept, return_memory, staged
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 BLOCK = 64
+COUNTED = 20_000  # terms of a class that a task counts before it hands them on: a bound on memory
 RESULT = (
     "score double, n_terms int, evidence array<struct<doc_id bigint, similarity double, toxic int>>"
 )
@@ -149,6 +150,7 @@ def _rows(batches: Iterator[pa.RecordBatch], *columns: str):
 
 def _term_counts(batches):
     """Per task, how many toxic and clean examples have each term."""
+    release_kept()
     counts: tuple[Counter, Counter] = (Counter(), Counter())
 
     def flush():
@@ -162,7 +164,7 @@ def _term_counts(batches):
 
     for text, toxic in _rows(batches, "text", "toxic"):
         counts[toxic].update({t for chunk in set((text or "").lower().split()) for t in chunk_terms(chunk)})
-        if len(counts[toxic]) > 200_000:
+        if len(counts[toxic]) > COUNTED:
             yield flush()
     yield flush()
 
@@ -229,6 +231,7 @@ def fit(
     )
 
     def frequencies(batches):
+        release_kept()
         count, n, total = model.counter(), np.zeros(len(terms) + 1, np.int64), 0
         for (text,) in _rows(batches, "text"):
             n[list(count(text))] += 1
@@ -301,6 +304,7 @@ def scorer(spark, model: ToxicityModel | None):
     shared = spark.sparkContext.broadcast(model)
 
     def score(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_kept()
         m = shared.value
         if m is None:
             for texts in series:
@@ -320,6 +324,8 @@ def scorer(spark, model: ToxicityModel | None):
         for texts in series:
             results = [known[tuple(sorted(count(t).items()))] for t in texts]
             yield pd.DataFrame(results, columns=["score", "n_terms", "evidence"])
+        known.clear()
+        return_memory()
 
     return F.pandas_udf(score, RESULT)
 

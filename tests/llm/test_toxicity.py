@@ -93,3 +93,26 @@ def test_without_both_classes_all_scores_are_zero(spark, labels):
 def test_empty_table(spark):
     marks = spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, toxic int")
     assert toxicity.op3(documents(spark, []), marks).collect() == []
+
+
+def test_a_task_hands_on_its_counted_terms_before_they_fill_its_memory():
+    import pyarrow as pa
+
+    # 40,000 different words in documents of both classes
+    texts = [" ".join(f"{chr(97 + d % 26)}{chr(97 + d // 26 % 26)}{chr(97 + w % 26)}{chr(97 + w // 26)}" for w in range(100)) for d in range(400)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": [d % 2 for d in range(400)]})
+    handed_on = list(toxicity._term_counts([batch]))
+    assert max(b.num_rows for b in handed_on) <= 2 * (toxicity.COUNTED + 100)
+    assert len(handed_on) > 1
+    assert sum(sum(b.column(c).to_pylist()) for b in handed_on for c in ("n_toxic", "n_clean")) == 40_000
+
+
+def test_workers_keep_nothing_of_other_stages_while_they_score(spark):
+    import sys
+
+    from shelfmark.llm.common import worker_cached
+
+    kept = worker_cached(("of", "another stage"), object)
+    assert kept in sys._shelfmark_kept.values()
+    list(toxicity._term_counts([]))
+    assert not sys._shelfmark_kept
