@@ -98,13 +98,13 @@ def test_empty_table(spark):
 def test_a_task_hands_on_its_counted_terms_before_they_fill_its_memory():
     import pyarrow as pa
 
-    # 40,000 different words in documents of both classes
-    texts = [" ".join(f"{chr(97 + d % 26)}{chr(97 + d // 26 % 26)}{chr(97 + w % 26)}{chr(97 + w // 26)}" for w in range(100)) for d in range(400)]
-    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": [d % 2 for d in range(400)]})
+    # 60,000 different words in documents of both classes
+    texts = [" ".join(f"{chr(97 + d % 26)}{chr(97 + d // 26 % 26)}{chr(97 + w % 26)}{chr(97 + w // 26)}" for w in range(100)) for d in range(600)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": [d % 2 for d in range(600)]})
     handed_on = list(toxicity._term_counts([batch]))
     assert max(b.num_rows for b in handed_on) <= 2 * (toxicity.COUNTED + 100)
     assert len(handed_on) > 1
-    assert sum(sum(b.column(c).to_pylist()) for b in handed_on for c in ("n_toxic", "n_clean")) == 40_000
+    assert sum(sum(b.column(c).to_pylist()) for b in handed_on for c in ("n_toxic", "n_clean")) == 60_000
 
 
 def test_workers_keep_nothing_of_other_stages_while_they_score(spark):
