@@ -7,8 +7,9 @@ each set leaves out its most common ones, as many as it has more than needed. On
 run that both keep can be linked; they form clusters. Within a cluster the sets are stored in a trie, ordered by how common
 an n-gram is among their differences from the usual set; each set walks it once, so that sets with a common beginning share the counting of their overlap, and
 a subtree is left as soon as what remains cannot reach the overlap needed, or when all of it is
-already connected to the walking set. Clusters beyond ``CELL`` n-grams are cut into chunks, each
-joined with the cluster's first set; what is not connected after that is compared again across chunks.
+already connected to the walking set. Clusters beyond ``CELL`` n-grams are cut into chunks of sets that
+share runs with the same small set. What is not connected by the joins within chunks is compared across them:
+a set visits those chunks where a set of another component shares a run with it, and no others.
 
 Equal sets are one set throughout, so copies cost nothing. No link between different sets is lost;
 sets and n-grams are told apart by 64-bit hashes.
@@ -33,7 +34,7 @@ N = 3
 PERCENT = 90
 SLACK = 3  # more runs than needed, so that sets with an empty run still agree in a full one
 SPARE = 4  # and one more for so many, so that sets can leave out the most common ones
-CELL = 1_000_000  # n-grams that one trie holds, about; two such chunks meet in one cell
+CELL = 1_000_000  # n-grams of a chunk, and of the visitors of a chunk that meet it in one trie, about
 SLICE = 512  # documents whose keys are handed on together
 BUNDLE = 256  # sets of a branch that is not split further
 SET_WEIGHT = 1_000  # n-grams that a set counts for besides its own, since sets are compared in pairs
@@ -266,8 +267,8 @@ def _cell_join(n: int, percent: int):
     return join
 
 
-def _clusters(sets: DataFrame) -> DataFrame:
-    """``(node, root)``: sets that agree with another set in a whole run that both keep, directly or in steps.
+def _kept_runs(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(set_id, key)`` of the runs that sets keep and share, and ``(key, hub, n)``: the first set of each, and how many have it.
 
     In one global order, by how many documents have a run, every set leaves out its last runs, as many as it may
     spare: those of common lines and passages, which would chain unlike sets.
@@ -286,11 +287,8 @@ def _clusters(sets: DataFrame) -> DataFrame:
     kept = staged(listed.select("set_id", F.explode(kept).alias("run")).select("set_id", "run.key", "run.n"), "kept-runs")
     hubs = kept.groupBy("key").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"), F.count("*").alias("n"))
     hubs = staged(hubs.where("hub < last").select("key", "hub", "n"), "hubs")
-    edges = join_counted(kept.drop("n"), hubs, "key", "n", kept.count()).where("hub IS NOT NULL AND hub <> set_id")
-    found = components(edges.select(F.col("set_id").alias("a"), F.col("hub").alias("b")))
-    for spent in (shared, kept, hubs):
-        drop_table(spent)
-    return found
+    drop_table(shared)
+    return kept.drop("n"), hubs
 
 
 def _with_text(cells: DataFrame, docs: DataFrame) -> DataFrame:
@@ -300,57 +298,98 @@ def _with_text(cells: DataFrame, docs: DataFrame) -> DataFrame:
     return cells.join(texts, "text_hash")
 
 
-def linked_sets(docs: DataFrame, sets: DataFrame, n: int, percent: int, cell: int = CELL) -> DataFrame:
+def linked_sets(docs: DataFrame, sets: DataFrame, kept: DataFrame, hubs: DataFrame, n: int, percent: int, cell: int = CELL) -> DataFrame:
     """``(node, root)``: connected components of linked sets; sets without links are not listed."""
-    clusters = _clusters(sets)
+    edges = join_counted(kept, hubs, "key", "n", kept.count()).where("hub IS NOT NULL AND hub <> set_id")
+    edges = staged(edges.select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct(), "edges")
+    # the smallest set that a set shares a run with by a hub: alike sets mostly name the same one
+    stars = edges.groupBy(F.col("a").alias("set_id")).agg(F.least("set_id", F.min("b")).alias("star"))
     known = sets.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"), F.max("n_shingles").alias("size"))
-    members = staged(clusters.withColumnRenamed("node", "set_id").join(known, "set_id"), "members")
-    weights = members.groupBy("root").agg(F.sum(F.col("size") + SET_WEIGHT).alias("weight"), F.count("*").alias("n"))
-    weights = weights.select("root", "n", F.ceil(F.col("weight") / cell).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int")
-    members = staged(join_counted(members, weights, "root", "n", members.count()).withColumn("chunk", chunk), "members")
+    members = components(edges).withColumnRenamed("node", "set_id").join(known, "set_id").join(stars, "set_id", "left")
+    members = staged(members.withColumn("star", F.coalesce("star", "set_id")), "members")
+    weight = F.sum(F.col("size") + SET_WEIGHT)
+    weights = members.groupBy("root").agg(weight.alias("weight"), F.count("*").alias("n"))
+    chunks = F.when(F.col("weight") <= cell, 1).otherwise(F.ceil(F.col("weight") * 2 / cell)).cast("int")
+    members = join_counted(members, weights.select("root", "n", chunks.alias("chunks")), "root", "n", members.count()).drop("n")
+    members = staged(members, "members")
+    large = members.where("chunks > 1").groupBy("star").agg(weight.alias("weight"), F.count("*").alias("n"))
+    large = staged(large.where(F.col("weight") * 2 > cell).select("star", "n", F.ceil(F.col("weight") / cell).cast("int").alias("parts")), "stars")
+    # large stars have chunks of their own, the others share some; chunks that clash would only be one
+    part = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
+    own = F.xxhash64("star", part).bitwiseOR(F.lit(1 << 40))
+    chunk = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("star"), F.col("chunks"))).otherwise(own)
+    members = join_counted(members, large, "star", "n", members.count()).withColumn("chunk", chunk).drop("star", "n", "parts")
+    members = staged(members, "members")
     schema, join = "a bigint, b bigint", _cell_join(n, percent)
-    every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    columns = ["root", "set_id", "text_hash"]
-    whole = members.select(*columns, "chunk", F.col("set_id").alias("label"), F.lit(True).alias("left"))
-    pivots = members.where("set_id = root AND chunks > 1").select(
-        *columns, F.explode(every).alias("chunk"), F.col("set_id").alias("label"), F.lit(True).alias("left")
-    )
+    columns = ["root", "chunk", "set_id", "text_hash"]
+    whole = members.select(*columns, F.col("set_id").alias("label"), F.lit(True).alias("left"))
+    # the set that a star shares runs with meets each part of it
+    parts = large.where("parts > 1").select(F.col("star").alias("set_id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    pivots = members.drop("chunk").join(parts, "set_id").withColumn("chunk", F.xxhash64("set_id", "part").bitwiseOR(F.lit(1 << 40)))
+    pivots = pivots.select(*columns, F.col("set_id").alias("label"), F.lit(True).alias("left"))
     links = _with_text(whole.union(pivots), docs).groupBy("root", "chunk").applyInArrow(join, schema)
     links = staged(links, "links")
-    cut = members.where("chunks > 1")
+    cut = members.where("chunks > 1").drop("chunks")
     if cut.isEmpty():
         return components(links)
-    # sets outside the largest component of a cluster that was cut meet all its chunks
     labels = components(links).select(F.col("node").alias("set_id"), F.col("root").alias("label"))
-    cut = staged(cut.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id")), "cut")
+    cut = cut.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    cut = staged(cut, "cut")
     main = cut.groupBy("root", "label").agg(F.count("*").alias("n"))
     main = main.groupBy("root").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n"))
     rest = join_counted(cut, main.where("parts > 1"), "root", "n", cut.count()).where("parts IS NOT NULL")
-    columns.append("label")
-    outside = F.col("label") != F.col("main")
-    # two sets outside meet in one of their two cells
-    others = F.sequence(F.when(outside, F.col("chunk")).otherwise(F.lit(0)), F.col("chunks") - 1)
-    left = rest.select(*columns, "chunk", F.explode(others).alias("other"), outside.alias("left"))
-    right = rest.where("label <> main").select(*columns, F.explode(every).alias("chunk"), F.col("chunk").alias("other"), F.lit(True).alias("left"))
-    more = _with_text(left.union(right), docs).groupBy("root", "chunk", "other").applyInArrow(join, schema)
+    rest = staged(rest.withColumn("left", F.col("label") != F.col("main")).drop("main", "parts", "n"), "rest")
+    columns = ["root", "chunk", "set_id", "text_hash", "label"]
+    visits = _visits(kept, rest)
+    guests = visits.join(rest.select("set_id", "text_hash", "label", "size"), "set_id")
+    rooms = guests.groupBy("root", "chunk").agg(F.ceil(weight / cell).cast("int").alias("rooms"))
+    room = F.pmod(F.xxhash64("set_id"), F.col("rooms")).cast("int").alias("room")
+    guests = guests.join(rooms, ["root", "chunk"]).select(*columns, room, F.lit(True).alias("left"))
+    rooms = rooms.withColumn("room", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)))
+    hosts = rest.join(rooms, ["root", "chunk"]).select(*columns, "room", F.lit(False).alias("left"))
+    more = _with_text(guests.union(hosts), docs).groupBy("root", "chunk", "room").applyInArrow(join, schema)
     return components(links.union(staged(more, "links")))
 
 
+def _visits(kept: DataFrame, rest: DataFrame) -> DataFrame:
+    """``(set_id, root, chunk)``: the other chunks where sets outside their cluster's main component may find a link.
+
+    There, a set of another component shares a run with it. Sets of the main component visit none, and of two
+    others the one of the lower chunk visits, so that all pairs meet that may be linked and are not connected.
+    """
+    places = staged(kept.join(rest.select("set_id", "root", "chunk", "label", "left"), "set_id"), "places")
+    there = places.groupBy("key", "chunk").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.bool_or(~F.col("left")).alias("main"), F.count("*").alias("n")
+    )
+    there = there.groupBy("key").agg(
+        F.collect_list(F.struct("chunk", "low", "high", "main")).alias("chunks"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")
+    )
+    there = staged(there.where("low < high AND size(chunks) > 1").select("key", "chunks", "n"), "places-by-run")
+    met = join_counted(places.where("left"), there, "key", "n", places.count()).where("chunks IS NOT NULL")
+    wanted = F.expr("filter(chunks, c -> c.chunk <> chunk AND (c.low <> label OR c.high <> label) AND (c.main OR c.chunk > chunk)).chunk")
+    visits = staged(met.select("set_id", "root", F.explode(wanted).alias("chunk")).distinct(), "visits")
+    for spent in (places, there):
+        drop_table(spent)
+    return visits
+
+
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, cell: int = CELL) -> DataFrame:
     """``(doc_id, text_hash, n_shingles, component_id, first)`` of every row of ``docs``.
 
     Documents are linked when 100 * intersection >= ``percent`` * union; a component is named by its
     smallest doc_id. ``first`` marks the rows of its first document by (doc_id, text_hash), nulls last.
     """
-    sets = staged(shingle_sets(docs, n, percent), "sets")
-    linked = linked_sets(docs, sets, n, percent, cell).withColumnRenamed("node", "set_id")
+    keyed = staged(shingle_sets(docs, n, percent), "keyed-sets")
+    kept, hubs = _kept_runs(keyed)
+    sets = staged(keyed.drop("keys", "spare"), "sets")
+    drop_table(keyed)  # its keys are by far the largest table
+    linked = linked_sets(docs, sets, kept, hubs, n, percent, cell).withColumnRenamed("node", "set_id")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     known = sets.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min(order).alias("least"), F.count("*").alias("n"))
     known = staged(known.join(linked, "set_id", "left").where("n > 1 OR root IS NOT NULL"), "known")
     named = known.groupBy(F.coalesce("root", "set_id").alias("root")).agg(F.min("least").alias("leader"))
     groups = known.select("set_id", "n", F.coalesce("root", "set_id").alias("root")).join(named, "root").drop("root")
-    found = join_counted(sets.drop("keys", "spare"), groups, "set_id", "n", sets.count())
+    found = join_counted(sets, groups, "set_id", "n", sets.count())
     alone = F.col("leader").isNull()
     return found.select(
         "doc_id",

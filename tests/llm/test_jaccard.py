@@ -77,6 +77,16 @@ def test_a_star_of_many_near_copies_in_small_cells(spark):
     assert found(spark, rows, cell=2_000) == sorted(brute(rows), key=repr)
 
 
+def test_sets_meet_only_chunks_where_they_share_a_run_with_another_component(spark):
+    # cluster 1 in three chunks, main component 10; runs 7 and 8 join sets of components, 9 lies within one
+    rest = [(1, 1, 0, 10, False), (1, 2, 1, 10, False), (1, 3, 1, 30, True), (1, 4, 2, 40, True), (1, 5, 2, 10, False)]
+    rest = spark.createDataFrame(rest, "root bigint, set_id bigint, chunk bigint, label bigint, left boolean")
+    kept = [(1, 7), (3, 7), (3, 8), (4, 8), (1, 9), (2, 9), (5, 9)]
+    kept = spark.createDataFrame(kept, "set_id bigint, key bigint")
+    visits = {(v.set_id, v.root, v.chunk) for v in jaccard._visits(kept, rest).collect()}
+    assert visits == {(3, 1, 0), (3, 1, 2)}  # the main component's set 1 is visited; of 3 and 4 the lower chunk's visits
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
 
