@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Memo, maybe_in_array, sketch, sketch_array, staged
+from shelfmark.llm.common import Memo, maybe_in_array, release_kept, return_memory, sketch, sketch_array, staged
 
 WINDOW = 5
 COVERAGE = 0.8
@@ -274,12 +274,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     sieve = docs.sparkSession.sparkContext.broadcast(sketch_array(sketch(items, "hash")))
 
     def read(batches):
+        release_kept()
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash")), strict=True)
             texts = ((row, text.as_py()) for row, text in zip(rows, batch.column("text"), strict=True))
             for names, columns in _window_batches(texts, sieve.value):
                 columns = [*(pa.array([x[c] for x, _ in names], pa.int64()) for c in (0, 1)), *columns]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", *COLUMNS])
+        return_memory()
 
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     found = texts.mapInArrow(read, f"doc_id bigint, text_hash bigint, {WINDOWS}")

@@ -3,7 +3,7 @@
 A document's set holds hashes of its word n-grams in one global order, that of the hash. Candidates
 come from runs of that order: two sets that are similar enough differ in so few n-grams that, cut into
 more runs than that, they agree in at least one whole run. Runs are ordered by how many documents have them, and
-each set leaves out its most common ones, as many as it has more than needed. Only sets that share the hash of a
+each set leaves out its most common ones, as many as it has more than a set of its own size needs. Only sets that share the hash of a
 run that both keep can be linked; they form clusters. Within a cluster the sets are stored in a trie, ordered by how common
 an n-gram is among their differences from the usual set; each set walks it once, so that sets with a common beginning share the counting of their overlap, and
 a subtree is left as soon as what remains cannot reach the overlap needed, or when all of it is
@@ -21,6 +21,9 @@ members, but name no component; a component without any doc_id has a null name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,6 +39,7 @@ SLACK = 3  # more runs than needed, so that sets with an empty run still agree i
 SPARE = 4  # and one more for so many, so that sets can leave out the most common ones
 CELL = 1_000_000  # n-grams of a chunk, and of the visitors of a chunk that meet it in one trie, about
 SLICE = 512  # documents whose keys are handed on together
+KEY_SLICE = 1 << 28  # characters of texts whose keys are shuffled at once, about: keys are taken slice by slice
 BUNDLE = 256  # sets of a branch that is not split further
 SET_WEIGHT = 1_000  # n-grams that a set counts for besides its own, since sets are compared in pairs
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -83,7 +87,9 @@ def run_keys(s: np.ndarray, percent: int) -> tuple[np.ndarray, list[int]]:
         return np.zeros(0, np.int64), spare  # such a small set is linked with equal ones only
     keys, scrambled = [], mixed(s)
     for size_class in {len(s).bit_length(), largest.bit_length()}:
-        differ, m = runs((1 << size_class) - 1, percent)
+        top = (1 << size_class) - 1
+        _, m = runs(top, percent)
+        differ = (len(s) + min(largest, top)) * (100 - percent) // (100 + percent)  # from a partner of that class
         run = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         start = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
         names, sums = run[start], np.add.reduceat(scrambled, start)
@@ -101,8 +107,14 @@ def _set_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``(doc_id, text_hash, n_shingles, set_id, keys, spare)`` of every document; set_id is null for empty sets."""
+def key_slices(docs: DataFrame) -> list[str]:
+    """Columns that hold the keys of sets, each those of one range of keys: as many as the size of the texts asks for."""
+    length = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return [f"keys_{n}" for n in range(1 + length // KEY_SLICE)]
+
+
+def shingle_sets(docs: DataFrame, n: int, percent: int, slices: Sequence[str]) -> DataFrame:
+    """``(doc_id, text_hash, n_shingles, set_id, spare)`` and the keys of every document; set_id is null for empty sets."""
 
     def sets(batches):
         release_kept()
@@ -114,7 +126,7 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         return_memory()
 
     def slice_sets(batch, memo):
-        sizes, ids, keys, spares = [], [], [np.zeros(0, np.int64)], []
+        sizes, ids, keys, spares = [], [], [], []
         for text in batch.column("text"):
             s = shingles(text.as_py(), n, memo)
             sizes.append(len(s))
@@ -122,12 +134,19 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
             found, spare = run_keys(s, percent)
             keys.append(found)
             spares.append(spare)
-        ends = pa.array(np.cumsum([len(k) for k in keys]), pa.int32())
         columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())]
-        columns += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys))), pa.array(spares, pa.list_(pa.int32()))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "set_id", "keys", "spare"])
-
-    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id bigint, keys array<bigint>, spare array<int>"
+        columns.append(pa.array(spares, pa.list_(pa.int32())))
+        owner, flat = np.repeat(np.arange(len(keys)), [len(k) for k in keys]), np.concatenate(keys)
+        place = ((flat.view(np.uint64) >> np.uint64(32)) * np.uint64(len(slices))) >> np.uint64(32)
+        for k in range(len(slices)):
+            here = place == k
+            ends = np.r_[0, np.cumsum(np.bincount(owner[here], minlength=len(keys)))]
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[here])))
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["doc_id", "text_hash", "n_shingles", "set_id", "spare", *slices]
+    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id bigint, spare array<int>"
+    schema += "".join(f", {name} array<bigint>" for name in slices)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sets, schema)
 
 
@@ -267,27 +286,37 @@ def _cell_join(n: int, percent: int):
     return join
 
 
-def _kept_runs(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(set_id, key)`` of the runs that sets keep and share, and ``(key, hub, n)``: the first set of each, and how many have it.
-
-    In one global order, by how many documents have a run, every set leaves out its last runs, as many as it may
-    spare: those of common lines and passages, which would chain unlike sets.
-    """
-    rows = sets.where(F.size("keys") > 0).select("set_id", "spare", F.explode("keys").alias("key"))
+def _common_runs(sets: DataFrame, keys: str, total: int) -> DataFrame:
+    """``(set_id, spare, key, n)``: keys of one slice that different sets share, and how many documents have each."""
+    rows = sets.where(F.size(keys) > 0).select("set_id", "spare", F.explode(keys).alias("key"))
     rows = rows.select("set_id", "key", F.get("spare", F.col("key").bitwiseAND(F.lit(1)).cast("int")).alias("spare"))
     shared = rows.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.count("*").alias("n"))
     shared = staged(shared.where("low < high").select("key", "n"), "shared-runs")
-    total = sets.agg(F.sum(F.size("keys"))).first()[0] or 0
     some = maybe_in(rows, sketch(shared, "key"), "key")
-    common = join_counted(some, shared, "key", "n", total).where("n IS NOT NULL")
+    common = staged(join_counted(some, shared, "key", "n", total).where("n IS NOT NULL"), "common-runs")
+    drop_table(shared)
+    return common
+
+
+def _kept_runs(sets: DataFrame, slices: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(set_id, key)`` of the runs that sets keep and share, and ``(key, hub, n)``: the first set of each, and how many have it.
+
+    In one global order, by how many documents have a run, every set leaves out its last runs, as many as it may
+    spare: those of common lines and passages, which would chain unlike sets. All keys together are far more than
+    those that sets share; they are shuffled a slice at a time, so that only few lie on disk twice.
+    """
+    totals = sets.agg(*(F.sum(F.size(keys)) for keys in slices)).first()
+    found = [_common_runs(sets, keys, total or 0) for keys, total in zip(slices, totals, strict=True)]
+    common = reduce(DataFrame.union, found)
     listed = common.groupBy("set_id", F.col("key").bitwiseAND(F.lit(1)).alias("bit")).agg(
         F.sort_array(F.collect_set(F.struct("n", "key"))).alias("runs"), F.max("spare").alias("spare")
     )
     kept = F.expr("slice(runs, 1, greatest(size(runs) - spare, 0))")
     kept = staged(listed.select("set_id", F.explode(kept).alias("run")).select("set_id", "run.key", "run.n"), "kept-runs")
+    for table in found:
+        drop_table(table)
     hubs = kept.groupBy("key").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"), F.count("*").alias("n"))
     hubs = staged(hubs.where("hub < last").select("key", "hub", "n"), "hubs")
-    drop_table(shared)
     return kept.drop("n"), hubs
 
 
@@ -379,9 +408,10 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, cell
     Documents are linked when 100 * intersection >= ``percent`` * union; a component is named by its
     smallest doc_id. ``first`` marks the rows of its first document by (doc_id, text_hash), nulls last.
     """
-    keyed = staged(shingle_sets(docs, n, percent), "keyed-sets")
-    kept, hubs = _kept_runs(keyed)
-    sets = staged(keyed.drop("keys", "spare"), "sets")
+    slices = key_slices(docs)
+    keyed = staged(shingle_sets(docs, n, percent, slices), "keyed-sets")
+    kept, hubs = _kept_runs(keyed, slices)
+    sets = staged(keyed.drop("spare", *slices), "sets")
     drop_table(keyed)  # its keys are by far the largest table
     linked = linked_sets(docs, sets, kept, hubs, n, percent, cell).withColumnRenamed("node", "set_id")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")

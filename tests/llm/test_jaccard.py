@@ -1,11 +1,13 @@
 import random
+import time
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from shelfmark.llm import jaccard
+from shelfmark.llm import common, jaccard
 from tests.llm.odd import documents, odd_rows, sentence
 
 
@@ -87,6 +89,39 @@ def test_sets_meet_only_chunks_where_they_share_a_run_with_another_component(spa
     assert visits == {(3, 1, 0), (3, 1, 2)}  # the main component's set 1 is visited; of 3 and 4 the lower chunk's visits
 
 
+def test_keys_taken_in_slices_give_the_same_components(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = near_rows(rng, 30, 14, 120) + odd_rows(rng)
+    monkeypatch.setattr(jaccard, "KEY_SLICE", sum(len(text or "") for _, text in rows) // 5)
+    docs = documents(spark, rows)
+    slices = jaccard.key_slices(docs)
+    assert len(slices) == 6
+    sets = jaccard.shingle_sets(docs, 3, 90, slices).collect()
+    held = [{k for r in sets for k in r[name]} for name in slices]
+    assert all(held) and sum(map(len, held)) == len(set.union(*held))
+    assert set.union(*held) == {k for _, t in rows for k in jaccard.run_keys(jaccard.shingles(t, 3, jaccard.word_hashes()), 90)[0].tolist()}
+    assert found(spark, rows) == sorted(brute(rows), key=repr)
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(n).getName() for n in range(files.size())} - before
+
+    before = set()
+    before = {name for name in shuffled() if name.startswith("shuffle_")}
+    setting = spark.conf.get(common._SHUFFLE_CLEANUP)
+    stored = common.staged(spark.range(100_000).groupBy(F.xxhash64("id").alias("h")).count(), "counted")
+    for _ in range(50):  # deleted in the background
+        left = [name for name in shuffled() if name.startswith("shuffle_")]
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert stored.count() == 100_000
+    assert spark.conf.get(common._SHUFFLE_CLEANUP) == setting
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
 
@@ -114,6 +149,17 @@ def keys_kept(s, percent, order):
     return kept
 
 
+@pytest.mark.parametrize("size", [130, 200, 260, 400, 500])
+def test_sets_leave_out_what_their_own_size_allows(size):
+    # a partner of at most 125 % differs in a ninth of both, whatever the largest set of the size class
+    s = np.unique(jaccard.mixed(np.arange(size, dtype=np.uint64)))
+    keys, spare = jaccard.run_keys(s, 80)
+    own = size.bit_length() & 1
+    top = (1 << size.bit_length()) - 1
+    differ = (size + min(size * 100 // 80, top)) // 9
+    assert spare[own] == sum(k & 1 == own for k in keys.tolist()) - differ - 1
+
+
 @settings(max_examples=300, deadline=None)
 @given(
     st.lists(st.integers(0, 60), min_size=1, max_size=60, unique=True), st.integers(0, 12), st.integers(0, 10**6), st.sampled_from([80, 90])
