@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import links
 from shelfmark.operators.files import build_files, select_keys
-from shelfmark.operators.hot_join import split_grid, spread_join
+from shelfmark.operators.hot_join import bounded_grid, split_grid, spread_join
 from shelfmark.operators.models import scene_models
 from tests.conftest import MODEL
 
@@ -128,6 +128,24 @@ def test_a_frequent_key_is_cut_on_both_sides(spark):
     assert total / (grid["hot"][0] * grid["hot"][1]) <= 10_000
 
 
+@pytest.mark.parametrize(
+    ("parts", "expected"),
+    [((3, 5), (3, 5)), ((8, 8), (8, 8)), ((1000, 1000), (8, 8)), ((600, 18_000), (1, 64)), ((1, 1000), (1, 64)), ((1000, 1), (64, 1)),
+     ((2, 1_000_000), (1, 64)), ((1_000_000, 2), (64, 1)), ((100, 400), (4, 16))],
+)
+def test_a_key_has_no_more_cells_than_tasks_can_use(spark, parts, expected):
+    grid = spark.createDataFrame([("k", *parts)], "k string, left_parts int, right_parts int")
+    [found] = bounded_grid(grid, 64).collect()
+    assert (found["left_parts"], found["right_parts"]) == expected
+
+
+def test_a_key_cut_into_fewer_cells_than_asked_for_keeps_all_pairs(spark):
+    left, right = (spark.range(1_500).select(F.lit("hot").alias("k"), F.col("id").alias(name)) for name in "ab")
+    assert split_grid(left, right, "k", 1).select("left_parts", "right_parts").first() == (1_500, 1_500)
+    joined = spread_join(left, right, "k", 1)
+    assert joined.agg(F.count("*"), F.count_distinct("a", "b")).first() == (2_250_000, 2_250_000)
+
+
 def test_copies_of_a_hot_key_are_never_broadcast(spark):
     # 300 rows in many copies: an estimate of their size knows nothing of the copies
     name = "CASE WHEN id % 5 <> 1 THEN 'hot' ELSE concat('s', id) END AS k"
