@@ -101,6 +101,34 @@ def test_text_behind_a_record_is_not_lost_silently(spark, tmp_path, rest):
     assert (bad["filename"], bad["_corrupt_record"]) == (path, '{"id": "2"}' + rest)
 
 
+def test_a_strict_read_parses_each_line_once(spark, tmp_path):
+    path = write(tmp_path / "r.txt", '{"id":"1"}\n{"id":"2"}\n')
+    read = records.read_records(spark, [path])
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter " in line]
+    assert filters and not any("from_json" in line for line in filters)
+    assert read.count() == 2
+    write(tmp_path / "r.txt", '{"id":"1"}\n{"id":"2"} {}\n')
+    with pytest.raises(Exception, match="not one JSON record"):  # also where no column is asked for
+        records.read_records(spark, [path]).count()
+
+
+def test_many_paths_are_looked_up_in_few_tasks(spark, tmp_path):
+    paths = [write(tmp_path / f"s{n}/scene.txt", f"text {n}") for n in range(400)]
+    setting = spark.conf.get(tables._LOOKUP_TASKS)
+    spark.sparkContext.setJobGroup("look-up", "look up paths")
+    try:
+        found = tables.read_text(spark, paths, wholetext=True)
+        status = spark.sparkContext.statusTracker()
+        jobs = [status.getJobInfo(job) for job in status.getJobIdsForGroup("look-up")]
+        tasks = [status.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
+    assert 1 <= max(tasks) <= tables.LOOKUP_TASKS_PER_CORE * spark.sparkContext.defaultParallelism < 400
+    assert spark.conf.get(tables._LOOKUP_TASKS) == setting
+    assert found.select("value").distinct().count() == 400
+
+
 def test_of_names_that_repeat_the_last_counts(spark, tmp_path):
     path = write(tmp_path / "in" / "00.txt", '{"id": "1", "id": "2"}\n')
     assert records.read_records(spark, [path]).first()["id"] == "2"
