@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import join_counted, staged
+from shelfmark.llm.common import join_counted, release_kept, return_memory, staged
 
 MIN_WORDS = 20  # of a block that is deleted
 ROWS_PER_COPY = 10_000  # pairs with one first document that share a copy of its lines
@@ -138,6 +138,7 @@ def runs(hashes: list[int], words: list[int], min_words: int) -> set[int]:
 
 def _run_reader(min_words: int):
     def read(batches):
+        release_kept()
         for batch in batches:
             keys, out = [], []
             for n, lines in enumerate(batch.column("lines").to_pylist()):
@@ -146,6 +147,7 @@ def _run_reader(min_words: int):
                 keys += [n] * len(found)
                 out += found
             yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(keys, pa.int64())), pa.array(out, pa.int64())], ["key", "hash"])
+        return_memory()
 
     return read
 
@@ -161,6 +163,7 @@ def _aligner(min_words: int):
                 )
                 out.append([lines[n]["pos"] for n in blocks])
             yield pa.RecordBatch.from_arrays([keys, pa.array(out, pa.list_(pa.int32()))], ["key", "deleted"])
+        return_memory()
 
     return align
 

@@ -167,6 +167,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     end = END.to_bytes(4, "little")
 
     def read(batches):
+        return_memory()
         encoder = worker_cached(("tokenizer", path), lambda: Encoder(model.value))
         gc.disable()  # what is remembered holds no cycles, but would be walked again and again
         encoder.known.clear()  # the worker serves other stages too, so only the tokenizer stays
